@@ -1,0 +1,117 @@
+"""Raw feeds derived from the TPC-H-like test tables.
+
+Two variants: ``events`` gives a month of badge events with messy texts,
+``orders`` gives six years of visits. Both keep every row of their tables.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seatlens.plans.dims import Calendar
+
+# The test tables' primary key stands for the position in the input.
+ORDER = ("seq",)
+
+
+@dataclass(frozen=True)
+class Raw:
+    visits: DataFrame
+    desks: DataFrame
+    calendar: Calendar
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _office() -> F.Column:
+    return F.replace("n_name", F.lit("_"), F.lit(" "))
+
+
+def _visitors(spark: SparkSession, sf_dir: str, facts: DataFrame, user: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    people = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return facts.join(people, F.col(user) == F.col("c_custkey"))
+
+
+def events_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = _visitors(spark, sf_dir, table(spark, sf_dir, "events"), "user_id")
+    spelling = F.col("event_id") % 3
+    wide = F.concat(F.lit("  "), F.replace("n_name", F.lit("_"), F.lit("   ")), F.lit(" "))
+    office = (
+        F.when(spelling == 0, _office())
+        .when(spelling == 1, wide)
+        .otherwise(F.concat(_office(), F.lit(".,")))
+    )
+    kind = F.col("event_type")
+    lob = (
+        F.when(kind == "signup", F.lit(None))
+        .when(kind == "error", "Pending")
+        .when(kind == "view", "Development & Construction")
+        .otherwise(kind)
+    )
+    return joined.select(
+        F.col("user_id").alias("Username"),
+        office.alias("OfficeLocation"),
+        lob.alias("LineOfBusiness"),
+        F.col("n_name").alias("OfficeLocationCityState"),
+        F.to_date("ts").alias("LogonDate"),
+        F.date_format("ts", "EEEE").alias("DayofWeek"),
+        F.col("c_mktsegment").alias("JobFamily"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+def orders_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = _visitors(spark, sf_dir, table(spark, sf_dir, "orders"), "o_custkey")
+    return joined.select(
+        F.col("o_custkey").alias("Username"),
+        _office().alias("OfficeLocation"),
+        F.col("c_mktsegment").alias("LineOfBusiness"),
+        F.col("n_name").alias("OfficeLocationCityState"),
+        F.to_date("o_orderdate").alias("LogonDate"),
+        F.date_format("o_orderdate", "EEEE").alias("DayofWeek"),
+        F.col("o_orderpriority").alias("JobFamily"),
+        F.col("o_orderkey").alias("seq"),
+    )
+
+
+def _desks(spark: SparkSession, sf_dir: str, date: F.Column, per_desk: int) -> DataFrame:
+    supplier = table(spark, sf_dir, "supplier")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    key = F.col("s_suppkey")
+    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        _office().alias("OfficeLocation"),
+        F.col("s_name").alias("Address"),
+        F.floor(F.col("s_acctbal") / per_desk).alias("Deskcount"),
+        F.when(key % 7 != 0, key * 100).alias("RSF"),
+        date.alias("Date"),
+        F.when(key % 10 == 9, "No")
+        .when(key % 10 == 4, " yes ")
+        .otherwise("Yes")
+        .alias("Include in Occupancy Calculation"),
+        key.alias("seq"),
+    )
+
+
+def events_desks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    week = (F.col("s_suppkey") % 4).cast("int")
+    return _desks(spark, sf_dir, F.date_add(F.lit(dt.date(2024, 1, 1)), week * 7), 500)
+
+
+def orders_desks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = (F.col("s_suppkey") % 60).cast("int")
+    return _desks(spark, sf_dir, F.add_months(F.lit(dt.date(1995, 3, 1)), month), 2500)
+
+
+def raw_feeds(spark: SparkSession, sf_dir: str, variant: str = "events") -> Raw:
+    if variant == "events":
+        return Raw(events_visits(spark, sf_dir), events_desks(spark, sf_dir), Calendar())
+    longer = Calendar(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+    return Raw(orders_visits(spark, sf_dir), orders_desks(spark, sf_dir), longer)
