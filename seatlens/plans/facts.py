@@ -248,7 +248,8 @@ def _unpack_lobs(packed: DataFrame, lobs: DataFrame) -> DataFrame:
     listed = F.coalesce(
         "by_lob", F.array().cast("array<struct<lob_key:int,attendance_count:bigint>>")
     )
-    every_key = F.when(F.size(names) > 0, F.sequence(F.lit(1), F.size(names)))
+    last_key = lobs.count()
+    every_key = F.sequence(F.lit(1), F.lit(last_key)) if last_key else F.array().cast("array<int>")
     absent = F.array_except(every_key, listed["lob_key"])
     zeros = F.transform(
         absent, lambda k: F.struct(k.alias("lob_key"), F.lit(0).cast("bigint").alias("attendance_count"))

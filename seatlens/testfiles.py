@@ -1,0 +1,64 @@
+"""Raw files written from the test tables, to run the file sources on them."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterable, Sequence
+from xml.sax.saxutils import escape
+
+import pandas as pd
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_XML = '<?xml version="1.0" encoding="UTF-8"?>'
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def workbook(rows: Iterable[Sequence[str | None]]) -> bytes:
+    """A workbook with one sheet of text cells."""
+
+    def cell(value: str | None) -> str:
+        if value is None:
+            return "<c/>"
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
+
+    lines = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in rows)
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_REL}">'
+        '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_PACKAGE}">'
+        f'<Relationship Id="rId1" Type="{_REL}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_MAIN}"><sheetData>{lines}</sheetData></worksheet>',
+    }
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as book:
+        for name, xml in parts.items():
+            book.writestr(name, _XML + xml)
+    return buffer.getvalue()
+
+
+def _path_in(folder: str, name: str) -> tuple[FileSystem, str]:
+    uri = folder if ":" in folder else f"file://{folder}"
+    system, path = FileSystem.from_uri(uri)
+    return system, f"{path}/{name}"
+
+
+def write_workbooks(df: DataFrame, folder: str, name: str, columns: Sequence[str], order: str) -> int:
+    """Write one workbook per distinct value of column ``name``; return their number."""
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values(order)[list(columns)].astype(object)
+        texts = rows.where(rows.notna(), None).map(lambda v: None if v is None else str(v))
+        file_name = group[name].iloc[0]
+        system, path = _path_in(folder, file_name)
+        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(path) as out:
+            out.write(workbook([list(columns), *texts.values.tolist()]))
+        return pd.DataFrame({"file": [file_name]})
+
+    typed = df.select(name, order, *[F.col(c).cast("string") for c in columns])
+    return typed.groupBy(name).applyInPandas(write, "file string").count()

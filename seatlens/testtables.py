@@ -8,11 +8,15 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seatlens.operators.grid import Window
+from seatlens.plans import clean, dims, facts
 from seatlens.plans.dims import Calendar
+from seatlens.session import stage
 
 # The test tables' primary key stands for the position in the input.
 ORDER = ("seq",)
@@ -115,3 +119,59 @@ def raw_feeds(spark: SparkSession, sf_dir: str, variant: str = "events") -> Raw:
         return Raw(events_visits(spark, sf_dir), events_desks(spark, sf_dir), Calendar())
     longer = Calendar(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
     return Raw(orders_visits(spark, sf_dir), orders_desks(spark, sf_dir), longer)
+
+
+class Build:
+    """The steps of a build over the test tables, each made when first used.
+
+    The count per day, office and business and the snapshots are staged, as
+    the whole build does it, so every later step starts from them.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, variant: str = "events") -> None:
+        self.spark = spark
+        self.raw = raw_feeds(spark, sf_dir, variant)
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return clean.clean_occupancy(self.raw.visits, ORDER)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return stage(facts.daily_attendance(self.visits), "daily")
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return stage(clean.clean_deskcount(self.raw.desks, ORDER), "snapshots")
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return dims.dim_location(self.daily, self.raw.desks, ORDER)
+
+    @cached_property
+    def lobs(self) -> DataFrame:
+        return dims.dim_line_of_business(self.daily)
+
+    @cached_property
+    def coverage(self) -> DataFrame:
+        return facts.coverage_window(self.daily, self.snapshots, self.raw.calendar)
+
+    @cached_property
+    def window(self) -> Window:
+        return facts.resolve_window(self.coverage)
+
+    def grid(self, by_lob: bool) -> DataFrame:
+        lobs = self.lobs if by_lob else None
+        return facts.dense_attendance(self.daily, self.window, self.locations, lobs)
+
+    def office_days(self, by_lob: bool) -> DataFrame:
+        lobs = facts.packable(self.lobs) if by_lob else None
+        return facts.office_days(self.daily, self.snapshots, self.locations, self.window, ORDER, lobs)
+
+    @cached_property
+    def aggregated(self) -> DataFrame:
+        return facts.fact_occupancy_aggregated(self.office_days(by_lob=False))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return facts.fact_occupancy(self.office_days(by_lob=True), self.daily, self.lobs, self.window)
