@@ -84,4 +84,4 @@ def thousands(c: Column) -> Column:
 
 def mean_text(c: Column) -> Column:
     """Three decimals; a mean over nothing prints as ``nan``."""
-    return F.coalesce(F.format_string("%.3f", F.when(c.isNotNull(), c)), F.lit("nan"))
+    return F.when(c.isNotNull(), F.format_string("%.3f", c)).otherwise("nan")
