@@ -17,9 +17,11 @@ def dense_keys(df: DataFrame, column: str, key: str, one_task_values: int = ONE_
     """Number the distinct non-null values 1, 2, 3, … in code-point order.
 
     The distinct values are written once, so that every consumer of the key
-    sees the same numbering and none repeats the distinct over its input.
+    sees the same numbering and none repeats the distinct over its input. The
+    null is dropped from the written values: a filter before would be pushed
+    down to the input and compute the column's expression once more per row.
     """
-    values = stage(df.select(column).where(F.col(column).isNotNull()).distinct(), key)
+    values = stage(df.select(column).distinct(), key).where(F.col(column).isNotNull())
     if values.count() <= one_task_values:
         number = F.row_number().over(W.orderBy(column))
         return values.select(number.cast("int").alias(key), column)

@@ -77,7 +77,8 @@ def dim_location(visits: DataFrame, desk_raw: DataFrame, order: Sequence[str] =
 
     ``visits`` is anything with an office_location per visit or group of them.
     """
-    offices = visits.select(text.location_or_null(F.col("office_location")).alias("office_location"))
+    offices = visits.select("office_location").distinct()
+    offices = offices.select(text.location_or_null(F.col("office_location")).alias("office_location"))
     keyed = dense_keys(offices, "office_location", "location_key")
     areas = latest_area(desk_raw, order).select("office_location", "RSF")
     joined = keyed.join(areas, "office_location", "left")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "seatlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -66,5 +67,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Frames of up to this many short rows are broadcast; larger ones are joined
+# however the optimizer sees fit.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(staged: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mark a staged frame for broadcast if its counted rows allow it."""
+    count = staged.count() if rows is None else rows
+    return F.broadcast(staged) if count <= BROADCAST_ROWS else staged
+
+
 def task_slots(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism

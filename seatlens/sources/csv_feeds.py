@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from seatlens.functions.text import blank_null_tokens
 from seatlens.schemas import ROW_ORDER, Feed, quoted
-from seatlens.session import stage, task_slots
+from seatlens.session import broadcast_if_small, stage, task_slots
 from seatlens.sources.workbooks import unique_names
 
 _HEADERS = "uri string, header array<string>, error string"
@@ -145,9 +145,13 @@ def combine_feed(
         scans.append(scan)
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     rows = stage(union, f"{feed.name}-combined")
-    malformed = rows.where(quoted(_SURPLUS).isNotNull()).select("source_file").distinct()
+    marked = rows.where(quoted(_SURPLUS).isNotNull()).select("source_file").distinct()
+    malformed = stage(marked, f"{feed.name}-malformed")
     rejected = rejected.unionByName(
         malformed.withColumn("error", F.lit("a line has more fields than the header"))
     )
-    usable = rows.join(malformed, "source_file", "left_anti").drop(_SURPLUS)
+    files_malformed = malformed.count()
+    usable = rows.drop(_SURPLUS)
+    if files_malformed:
+        usable = usable.join(broadcast_if_small(malformed, files_malformed), "source_file", "left_anti")
     return Combined(usable, rejected)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from seatlens.functions import parse, text
 from seatlens.schemas import Feed
-from seatlens.session import stage
+from seatlens.session import broadcast_if_small, stage
 from seatlens.sources.periods import file_period
 from seatlens.sources.xlsx import first_sheet
 
@@ -26,6 +27,7 @@ _DECODED_ARROW = pa.schema(
     ]
 )
 _ROWS_PER_BATCH = 10_000
+_NO_MONTH = "no month in name, content or folder"
 
 
 class BadFiles(RuntimeError):
@@ -77,6 +79,13 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(arrays, schema=_DECODED_ARROW)
 
 
+def _within_one_level(folder: str) -> str:
+    """A pattern for paths of files in a folder or directly below it."""
+    place = re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", folder).rstrip("/")
+    start = r"^([A-Za-z0-9+.-]+:(//[^/]*)?)?" if place.startswith("/") else "/"
+    return rf"{start}{re.escape(place)}/([^/]+/)?[^/]+$"
+
+
 def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Decode the first sheet of every workbook in ``folder`` and one level below.
 
@@ -91,8 +100,7 @@ def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
         .select("path", "content")
     )
-    root = folder.split(":", 1)[-1].rstrip("/").rsplit("/", 1)[-1]
-    near = F.size(F.split(F.substring_index("path", f"/{root}/", -1), "/")) <= 2
+    near = F.col("path").rlike(_within_one_level(folder))
     return files.where(near).mapInArrow(_decode, _DECODED)
 
 
@@ -100,12 +108,13 @@ def land_workbooks(spark: SparkSession, folder: str, feed: Feed) -> Landed:
     """Decode a feed's workbooks and keep one file per month.
 
     Of several files of a month the last one by path counts. Workbooks are
-    decoded once, into a staged table that all further steps read.
+    decoded once, into a staged table that all further steps read; the choice
+    of files is broadcast to its rows, so these are not shuffled by file.
     """
     decoded = stage(read_workbooks(spark, folder), f"{feed.name}-workbooks")
     named_date = F.map_filter("cells", lambda name, _: F.lower(name) == feed.date_column.lower())
     newest = parse.date_or_null(F.try_element_at(F.map_values(named_date), F.lit(1)))
-    files = (
+    dated = (
         decoded.groupBy("source_file")
         .agg(
             F.max("error").alias("error"),
@@ -114,9 +123,10 @@ def land_workbooks(spark: SparkSession, folder: str, feed: Feed) -> Landed:
         .withColumn("year_month", file_period(F.col("source_file"), F.col("newest")))
         .withColumn(
             "error",
-            F.coalesce("error", F.when(F.col("year_month").isNull(), F.lit("no month in name, content or folder"))),
+            F.coalesce("error", F.when(F.col("year_month").isNull(), F.lit(_NO_MONTH))),
         )
     )
+    files = stage(dated.select("source_file", "year_month", "error"), f"{feed.name}-files")
     # Path parts compare like file paths sort: folder by folder.
     parts = F.split("source_file", "/")
     chosen = (
@@ -126,7 +136,7 @@ def land_workbooks(spark: SparkSession, folder: str, feed: Feed) -> Landed:
     )
     rows = (
         decoded.where(F.col("error").isNull())
-        .join(chosen, "source_file")
+        .join(broadcast_if_small(chosen, files.count()), "source_file")
         .select(
             F.concat("year_month", F.lit(f"_{feed.name}.csv")).alias("source_file"),
             F.lit(0).cast("bigint").alias("source_block"),
