@@ -65,7 +65,7 @@ def top3_days(b: Build) -> DataFrame:
 
 def hybrid_flags(b: Build) -> DataFrame:
     grid = b.grid(by_lob=True).select("date", "office_location", "line_of_business", "attendance_count")
-    return hybrid.hybrid_flags(grid)
+    return hybrid.hybrid_flags(grid, dates=calendar_days(b.spark, b.window))
 
 
 def weekday_weekend_mean(b: Build) -> DataFrame:

@@ -33,20 +33,26 @@ def asof_join(
     """Attach to each left row the newest right row not after it, per ``by`` key.
 
     Rows without an earlier match get nulls. The lookup is done once per
-    distinct (key, day): both sides shrink to at most one row per key and day
-    before any ordering, so the ordered window over one key is never longer
-    than the calendar, however many rows the key has.
+    distinct (key, day): both sides together shrink to one row per key and day,
+    beginning inside each map task, before any ordering. The ordered window
+    over a key is so never longer than the calendar, however many rows it has.
     """
     for side in (left, right):
         if not isinstance(side.schema[on].dataType, T.DateType):
             raise TypeError(f"as-of column {on} must be a DATE")
-    known = newest_per_day(right, on, by, values, order).withColumn("_asked", F.lit(False))
-    asked = left.select(*by, on).distinct().withColumn("_asked", F.lit(True))
-    # On equal days the snapshot sorts first (false < true): the match is inclusive.
-    so_far = W.partitionBy(*by).orderBy(on, "_asked").rowsBetween(W.unboundedPreceding, 0)
-    answers = (
+    known = right.select(
+        *by, on, F.struct(*values).alias("_values"), F.struct(*order).alias("_order"), F.lit(False).alias("_asked")
+    )
+    asked = left.select(*by, on, F.lit(True).alias("_asked"))
+    # A question has no order, and max_by passes over rows without one.
+    days = (
         known.unionByName(asked, allowMissingColumns=True)
-        .withColumn("payload", F.last("payload", ignorenulls=True).over(so_far))
+        .groupBy(*by, on)
+        .agg(F.max_by("_values", "_order").alias("payload"), F.max("_asked").alias("_asked"))
+    )
+    so_far = W.partitionBy(*by).orderBy(on).rowsBetween(W.unboundedPreceding, 0)
+    answers = (
+        days.withColumn("payload", F.last("payload", ignorenulls=True).over(so_far))
         .where("_asked")
         .select(*by, on, "payload")
     )

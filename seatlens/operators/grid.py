@@ -13,13 +13,24 @@ from seatlens.functions.days import date_key, days_between
 from seatlens.session import task_slots
 
 
+# Grid rows one task should at least and at most produce.
+_FEW_ROWS = 20_000
+_MANY_ROWS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Window:
-    """The days a grid covers; without any, its bounds are None."""
+    """The days a grid covers; without any, its bounds are None.
+
+    The numbers of offices and businesses are estimates that only decide how
+    many tasks make the grid.
+    """
 
     coverage_end: dt.date | None
     first: dt.date | None
     last: dt.date | None
+    offices: int = 1
+    businesses: int = 1
 
     @property
     def end(self) -> Column:
@@ -36,6 +47,16 @@ class Window:
     def holds(self, day: Column) -> Column:
         return day.between(self.grid_start, self.grid_end)
 
+    def tasks(self, spark: SparkSession) -> int:
+        """Tasks for the grid by day, office and business.
+
+        Adaptive execution cannot choose the number, because it sees the few
+        rows before they unfold into the grid.
+        """
+        days = (self.last - self.first).days + 1 if self.first and self.last else 0
+        rows = max(0, days) * self.offices * self.businesses
+        return max(1, min(task_slots(spark), rows // _FEW_ROWS), rows // _MANY_ROWS)
+
 
 def calendar_days(spark: SparkSession, window: Window) -> DataFrame:
     """One row per day of the window."""
@@ -47,11 +68,9 @@ def office_grid(locations: DataFrame, window: Window) -> DataFrame:
     """Every office on every day of the window.
 
     Each office row generates its own calendar, so the product needs no join.
-    The explicit partition count keeps adaptive execution from merging the few
-    office rows into one task that would then generate the whole grid.
     """
     span = days_between(window.grid_start, window.grid_end)
-    spread = locations.repartition(task_slots(locations.sparkSession), "office_location")
+    spread = locations.repartition(window.tasks(locations.sparkSession), "office_location")
     return spread.select(
         "location_key", "office_location", F.explode(span).alias("date")
     ).withColumn("date_key", date_key(F.col("date")))

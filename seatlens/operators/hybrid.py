@@ -59,18 +59,26 @@ def top_days(totals: DataFrame, eligible: DataFrame, k: int = TOP_DAYS) -> DataF
     )
 
 
-def hybrid_flags(fact: DataFrame, k: int = TOP_DAYS, min_weekdays: int = MIN_WEEKDAYS) -> DataFrame:
+def hybrid_flags(
+    fact: DataFrame,
+    k: int = TOP_DAYS,
+    min_weekdays: int = MIN_WEEKDAYS,
+    dates: DataFrame | None = None,
+) -> DataFrame:
     """Add ``is_hybrid_day`` to a fact of any grain below office and day.
 
     Totals and ranks are windows over one shuffle by office and week; no top-k
-    set is joined back.
+    set is joined back. ``dates`` may name the fact's days where they are known
+    without a pass over it.
     """
+    days = fact if dates is None else dates
     # At most one row per calendar day is broadcast.
-    eligible = F.broadcast(eligible_dates(fact, min_weekdays).select("date", "eligible"))
+    eligible = F.broadcast(eligible_dates(days, min_weekdays).select("date", "eligible"))
     day = W.partitionBy("office_location", "week_start", "date")
     return (
         fact.withColumn("week_start", week_start(F.col("date")))
         .join(eligible, "date")
+        .repartition("office_location", "week_start")
         .withColumn("_day_total", F.sum("attendance_count").over(day))
         .withColumn("is_hybrid_day", in_top_days(F.col("_day_total"), k))
         .select(*fact.columns, "is_hybrid_day")

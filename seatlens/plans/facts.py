@@ -19,7 +19,6 @@ from seatlens.operators.grid import Window, calendar_days, fill_counts, office_g
 from seatlens.operators.hybrid import eligible_dates, in_top_days
 from seatlens.plans.dims import Calendar
 from seatlens.schemas import TABLES, conform
-from seatlens.session import task_slots
 
 # Up to this many lines of business, an office day carries all their counts in
 # one row; beyond it the counts are joined to the exploded grid.
@@ -41,30 +40,35 @@ def coverage_window(daily: DataFrame, snapshots: DataFrame, calendar: Calendar =
     The grid runs over the days that lie in the calendar and between the first
     visit and the coverage end; outside visits do not count.
     """
-    bounds = daily.agg(F.min("date").alias("first_visit"), F.max("date").alias("last_visit"))
-    newest = snapshots.agg(F.max("date").alias("date")).scalar()
-    any_visit = F.col("first_visit").isNotNull()
-    return bounds.withColumn("latest_snapshot", newest).select(
-        "*",
-        days.coverage_end(F.col("last_visit"), F.col("latest_snapshot")).alias("coverage_end"),
-        F.when(any_visit, F.greatest(F.col("first_visit"), F.lit(calendar.first))).alias("grid_start"),
-        F.when(
-            any_visit,
-            F.least(
-                days.coverage_end(F.col("last_visit"), F.col("latest_snapshot")),
-                F.lit(calendar.last),
-            ),
-        ).alias("grid_end"),
-    )
+    return _coverage(daily, snapshots, calendar).drop("offices", "businesses")
 
 
-def resolve_window(window: DataFrame) -> Window:
-    """Read the one row of :func:`coverage_window`.
+def resolve_window(daily: DataFrame, snapshots: DataFrame, calendar: Calendar = Calendar()) -> Window:
+    """The bounds of :func:`coverage_window` as values.
 
-    As literals the bounds reach the file scans as pushed filters.
+    One row comes to the driver. As literals the bounds reach the file scans as
+    pushed filters.
     """
-    row = window.select("coverage_end", "grid_start", "grid_end").first()
-    return Window(row.coverage_end, row.grid_start, row.grid_end)
+    row = _coverage(daily, snapshots, calendar).first()
+    return Window(row.coverage_end, row.grid_start, row.grid_end, row.offices, row.businesses)
+
+
+def _coverage(daily: DataFrame, snapshots: DataFrame, calendar: Calendar) -> DataFrame:
+    seen = daily.agg(
+        F.min("date").alias("first_visit"),
+        F.max("date").alias("last_visit"),
+        F.approx_count_distinct("office_location").alias("offices"),
+        F.approx_count_distinct("line_of_business").alias("businesses"),
+    )
+    newest = snapshots.agg(F.max("date").alias("date")).scalar()
+    end = days.coverage_end(F.col("last_visit"), F.col("latest_snapshot"))
+    any_visit = F.col("first_visit").isNotNull()
+    return seen.withColumn("latest_snapshot", newest).select(
+        "*",
+        end.alias("coverage_end"),
+        F.when(any_visit, F.greatest("first_visit", F.lit(calendar.first))).alias("grid_start"),
+        F.when(any_visit, F.least(end, F.lit(calendar.last))).alias("grid_end"),
+    )
 
 
 def visits_outside(daily: DataFrame, window: Window) -> DataFrame:
@@ -150,7 +154,9 @@ def _weekly_counts(daily: DataFrame, window: Window, lobs: DataFrame | None) ->
         entry.append("by_lob")
     keys = ["office_location", "week_start"]
     # One shuffle by office and week serves both groupings and the join after.
-    weekly = rows.withColumn("week_start", days.week_start(F.col("date"))).repartition(*keys)
+    weekly = rows.withColumn("week_start", days.week_start(F.col("date"))).repartition(
+        window.tasks(daily.sparkSession), *keys
+    )
     per_day = weekly.groupBy(*keys, "date").agg(*measures)
     as_entries = F.collect_list(F.struct("date", F.struct(*entry)))
     return per_day.groupBy(*keys).agg(F.map_from_entries(as_entries).alias("counts"))
@@ -172,10 +178,10 @@ def office_days(
     shuffle.
     """
     spans = capacity_spans(locations, snapshots, window, order)
-    # A fixed partition count: the span rows are few, the days they become are not.
-    spread = spans.repartition(task_slots(daily.sparkSession), "location_key", "from_day")
     mondays = F.sequence(days.week_start(F.col("from_day")), F.col("to_day"), F.expr("interval 7 days"))
-    weeks = spread.withColumn("week_start", F.explode(mondays))
+    weeks = spans.withColumn("week_start", F.explode(mondays)).repartition(
+        window.tasks(daily.sparkSession), "office_location", "week_start"
+    )
     counted = weeks.join(_weekly_counts(daily, window, lobs), ["office_location", "week_start"], "left")
     # At most one row per calendar day is broadcast.
     eligible = F.broadcast(eligible_dates(calendar_days(daily.sparkSession, window)).select("date", "eligible"))

@@ -53,12 +53,14 @@ def build_marts(
     daily = write("daily_attendance", facts.daily_attendance(visits))
     locations = write("dim_location", dims.dim_location(daily, desk_raw, order))
     lobs = write("dim_line_of_business", dims.dim_line_of_business(daily))
-    window = facts.resolve_window(facts.coverage_window(daily, snapshots, calendar))
+    window = facts.resolve_window(daily, snapshots, calendar)
     days = write(
         "office_days",
         facts.office_days(daily, snapshots, locations, window, order, facts.packable(lobs)),
     )
-    fact = write("fact_occupancy", facts.fact_occupancy(days, daily, lobs, window))
+    # The files of office days are small next to the rows they unfold into.
+    spread = days.repartition(window.tasks(spark), "location_key", "date_key")
+    fact = write("fact_occupancy", facts.fact_occupancy(spread, daily, lobs, window))
     aggregated = write("fact_occupancy_aggregated", facts.fact_occupancy_aggregated(days))
 
     tables = {

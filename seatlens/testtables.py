@@ -168,7 +168,7 @@ class Build:
 
     @cached_property
     def window(self) -> Window:
-        return facts.resolve_window(self.coverage)
+        return facts.resolve_window(self.daily, self.snapshots, self.raw.calendar)
 
     def grid(self, by_lob: bool) -> DataFrame:
         lobs = self.lobs if by_lob else None

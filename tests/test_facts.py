@@ -201,7 +201,7 @@ def build_small(spark, raw, snaps, calendar=Calendar()):
     snapshots = clean.clean_deskcount(snaps, ORDER)
     locations = dims.dim_location(daily, snaps, ORDER)
     lobs = dims.dim_line_of_business(daily)
-    window = facts.resolve_window(facts.coverage_window(daily, snapshots, calendar))
+    window = facts.resolve_window(daily, snapshots, calendar)
     days = facts.office_days(daily, snapshots, locations, window, ORDER, facts.packable(lobs))
     return window, facts.fact_occupancy_aggregated(days), facts.fact_occupancy(days, daily, lobs, window)
 
