@@ -35,20 +35,18 @@ LOB_RENAMES = {
     "Development & Construction": "Development and Construction",
 }
 
-# Blank means any Unicode white space plus the four ASCII separators, which
-# Java's Unicode class leaves out.
-_BLANK = r"[\s\x1c-\x1f]"
+# Any Unicode white space, and the ASCII separators that Java leaves out of it.
+_BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def normalize_location(c: Column) -> Column:
-    """Trim, make every blank run one space, then drop trailing ``. , ; :``.
+    """Make every blank run one space, trim, then drop trailing ``. , ; :``.
 
     The order matters: a blank uncovered by the last step stays. Null stays
     null, and a name of nothing but punctuation becomes the empty string.
     """
-    trimmed = F.regexp_replace(c, rf"(?U)\A{_BLANK}+|{_BLANK}+\z", "")
-    single_spaced = F.regexp_replace(trimmed, rf"(?U){_BLANK}+", " ")
-    return F.regexp_replace(single_spaced, r"[.,;:]+\z", "")
+    single_spaced = F.regexp_replace(c, _BLANKS, " ")
+    return F.rtrim(F.trim(single_spaced), F.lit(".,;:"))
 
 
 def location_or_null(c: Column) -> Column:
