@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seatlens.plans import clean, dims, facts, profile, quality
 from seatlens.plans.dims import Calendar
-from seatlens.schemas import ROW_ORDER, TABLES, conform
+from seatlens.schemas import DESKCOUNT, FEEDS, OCCUPANCY, ROW_ORDER, TABLES, Feed, conform
 from seatlens.session import new_folder
+from seatlens.sources import tables as sinks
+from seatlens.sources.csv_feeds import combine_feed
+from seatlens.sources.workbooks import ingest_workbooks
 
 
 @dataclass(frozen=True)
@@ -87,3 +90,36 @@ def build_marts(
     )
     reports = quality.quality_report(fact, aggregated, locations, daily, snapshots)
     return Marts(tables, reports, steps)
+
+
+def run_all(
+    spark: SparkSession,
+    inputs: str,
+    folder: str,
+    calendar: Calendar = Calendar(),
+    files: str = "xlsx",
+    table: str | None = None,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+) -> Marts:
+    """From raw files to tables, reports and, if ``table`` is named, a published fact.
+
+    ``inputs`` holds one folder per feed, with workbooks (``files="xlsx"``) or
+    CSV files (``files="csv"``). Raw tables go to ``folder``/raw, the star
+    schema to ``folder``/marts, the reports to ``folder``/reports. Errors of
+    any step, publishing included, are raised.
+    """
+
+    def ingest(feed: Feed) -> DataFrame:
+        source = f"{inputs}/{feed.name}"
+        if files == "csv":
+            return combine_feed(spark, source, feed).rows
+        return ingest_workbooks(spark, source, feed, f"{folder}/raw/{feed.name}")
+
+    raw = {name: ingest(feed) for name, feed in FEEDS.items()}
+    visits, desks = raw[OCCUPANCY.name], raw[DESKCOUNT.name]
+    marts = build_marts(visits, desks, calendar, ROW_ORDER, f"{folder}/marts")
+    sinks.write_reports(marts.reports, f"{folder}/reports")
+    if table:
+        sinks.publish(marts.tables["fact_occupancy_aggregated"], table, mode, fmt)
+    return marts

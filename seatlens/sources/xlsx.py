@@ -30,15 +30,18 @@ def first_sheet(content: bytes) -> Iterator[list[str | None]]:
         date_styles = _date_styles(book)
         waiting = 0
         with book.open(_first_sheet_path(book, workbook)) as sheet:
-            expected = 1
-            for _, element in ET.iterparse(sheet):
+            expected, table = 1, None
+            for event, element in ET.iterparse(sheet, ("start", "end")):
+                if event == "start":
+                    table = element if element.tag == f"{_MAIN}sheetData" else table
+                    continue
                 if element.tag != f"{_MAIN}row":
                     continue
                 number = int(element.get("r", expected))
                 cells = _row(element, strings, date_styles, day_zero)
                 waiting += number - expected
                 expected = number + 1
-                element.clear()
+                table.clear()  # rows done with, so that memory stays flat
                 if all(c is None for c in cells):
                     waiting += 1
                     continue

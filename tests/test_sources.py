@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from seatlens.plans import clean, quality
+from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
 from seatlens.sources import csv_feeds, tables, workbooks
 from seatlens.sources.xlsx import first_sheet
@@ -120,6 +120,40 @@ def test_landed_visits_clean_in_month_order(spark, tmp_path):
     assert rows(cleaned, "office_location", "line_of_business") == [("Oslo", "Sales")] * 2
 
 
+VISIT = ["u1", " Oslo. ", "Pending", "C", "2024-01-02", "Tuesday", "J"]
+
+
+def check_whole_run(spark, built, table):
+    fact = built.tables["fact_occupancy_aggregated"]
+    assert rows(fact.where("attendance_count > 0"), "date_key", "office_location", "attendance_count", "deskcount") == [
+        (20240102, "Oslo", 1, 4),
+        (20240104, "Oslo", 2, 4),
+    ]
+    assert fact.count() == 3 and spark.table(table).count() == 3
+    assert rows(built.tables["dim_location"]) == [(1, "Oslo", 900)]
+
+
+def test_whole_run_from_workbooks(spark, tmp_path):
+    put(tmp_path / "Inputs/Deskcount/2024_01_deskcount.xlsx", workbook([[*HEADER, "RSF"], ["Oslo", "4", "2024-01-01", "900"]]))
+    header = list(OCCUPANCY.required)
+    later = [[u, *VISIT[1:4], "2024-01-04", *VISIT[5:]] for u in ("u1", "u2", "u1")]
+    put(tmp_path / "Inputs/Occupancy/2024/January.xlsx", workbook([header, VISIT, VISIT, *later]))
+    built = marts.run_all(spark, str(tmp_path / "Inputs"), str(tmp_path / "out"), table="run_db.occupancy")
+    check_whole_run(spark, built, "run_db.occupancy")
+    assert (tmp_path / "out/reports/validation_summary").exists()
+
+
+def test_whole_run_from_csv(spark, tmp_path):
+    put(tmp_path / "Deskcount/desks.csv", "Date,RSF,OfficeLocation,Deskcount\n2024-01-01,900,Oslo,4\n")
+    lines = [OCCUPANCY.required, VISIT, VISIT]
+    put(tmp_path / "Occupancy/a.csv", "".join(",".join(line) + "\n" for line in lines))
+    later = [[u, *VISIT[1:4], "1/4/2024", *VISIT[5:]] for u in ("u1", "u2", "u1")]
+    lines = [reversed(line) for line in [OCCUPANCY.required, *later]]
+    put(tmp_path / "Occupancy/b.csv", "".join(",".join(line) + "\n" for line in lines))
+    built = marts.run_all(spark, str(tmp_path), str(tmp_path / "out"), files="csv", table="csv_db.occupancy")
+    check_whole_run(spark, built, "csv_db.occupancy")
+
+
 def test_csv_union_by_name(spark, tmp_path):
     put(tmp_path / "January Desk.csv", 'OfficeLocation,Address,Deskcount\nA,"1 Road, ""x""\nTown",10\n\nB,,NA\n')
     put(tmp_path / "b+%20.csv", "Deskcount,OfficeLocation,Extra.col\n20,C,x\n30\n")
