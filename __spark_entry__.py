@@ -77,6 +77,11 @@ def validation_summary(b: Build) -> DataFrame:
     return quality.validation_summary(b.fact, b.aggregated, b.locations, b.daily, b.snapshots)
 
 
+def merge_issues_zero_filled(b: Build) -> DataFrame:
+    """The merge check on a fact whose unknown capacity was read as zero."""
+    return quality.merge_issues(b.fact.fillna(0, ["deskcount"]))
+
+
 def fact_sample(b: Build) -> DataFrame:
     return profile.sample(b.fact, 10, "date_key", "office_location", "line_of_business")
 
@@ -198,6 +203,7 @@ _EVENTS_ONLY: dict[str, Callable[[Build], DataFrame]] = {
     "null_profile": lambda b: profile.null_profile(b.fact),
     "step_counts": lambda b: build(b).steps,
     "merge_issues": lambda b: quality.merge_issues(b.fact),
+    "merge_issues_zero_filled": merge_issues_zero_filled,
     "missing_capacity": lambda b: quality.missing_capacity(b.fact),
     "over_capacity": lambda b: quality.over_capacity_days(b.fact),
     "weekday_weekend_mean": weekday_weekend_mean,

@@ -297,6 +297,8 @@ _EVENTS_ONLY = {
     "step_counts": _STEP_COUNTS,
     "merge_issues": "SELECT date, office_location, line_of_business, attendance_count, deskcount FROM lob_fact"
     " WHERE attendance_count > 0 AND deskcount = 0",
+    "merge_issues_zero_filled": "SELECT date, office_location, line_of_business, attendance_count,"
+    " coalesce(deskcount, 0) AS deskcount FROM lob_fact WHERE attendance_count > 0 AND coalesce(deskcount, 0) = 0",
     "missing_capacity": "SELECT date, office_location, line_of_business, attendance_count, deskcount"
     " FROM lob_fact WHERE attendance_count > 0 AND deskcount IS NULL",
     "over_capacity": "SELECT date, office_location, line_of_business, attendance_count, deskcount, occupancy_rate"

@@ -117,6 +117,35 @@ def test_result_does_not_depend_on_input_partitions(spark, sf_dir, events):
     assert rows(again.aggregated) == rows(events.aggregated)
 
 
+def test_result_does_not_depend_on_the_time_zone(spark, sf_dir, order_facts):
+    """Several switches to summer time lie in the window."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        there = rows(Build(spark, sf_dir, "orders").aggregated)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert there == rows(order_facts[1])
+
+
+def test_a_third_of_all_visits_on_one_key(spark):
+    """Visits without a user name collapse to one per day and office."""
+    n = F.col("id")
+    hot = n % 3 == 0
+    raw = spark.range(30_000).select(
+        F.when(~hot, n.cast("string")).alias("Username"),
+        F.when(hot, "Oslo").otherwise(F.concat(F.lit("Office "), (n % 10).cast("string"))).alias("OfficeLocation"),
+        F.when(n == 0, "first").otherwise("later").alias("LineOfBusiness"),
+        F.lit("C").alias("OfficeLocationCityState"),
+        F.lit(dt.date(2024, 1, 2)).alias("LogonDate"),
+        F.lit("Tuesday").alias("DayofWeek"),
+        F.lit("J").alias("JobFamily"),
+        n.alias("seq"),
+    )
+    daily = facts.daily_attendance(clean.clean_occupancy(raw.orderBy(F.rand(5)), ORDER))
+    assert rows(daily.where("office_location = 'Oslo'"), "line_of_business", "attendance_count") == [("first", 1)]
+    assert daily.agg(F.sum("attendance_count")).first()[0] == 20_001
+
+
 def test_first_visit_wins_and_names_are_dropped(spark):
     raw = visits(
         spark,
