@@ -74,7 +74,11 @@ def weekday_weekend_mean(b: Build) -> DataFrame:
 
 
 def validation_summary(b: Build) -> DataFrame:
-    return quality.validation_summary(b.fact, b.aggregated, b.locations, b.daily, b.snapshots)
+    """Both facts come from the same office days, which are worked out once."""
+    days = stage(b.office_days(by_lob=True), "office_days")
+    fact = facts.fact_occupancy(days, b.daily, b.lobs, b.window)
+    aggregated = facts.fact_occupancy_aggregated(days)
+    return quality.validation_summary(fact, aggregated, b.locations, b.daily, b.snapshots)
 
 
 def merge_issues_zero_filled(b: Build) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from seatlens.functions.text import blank_null_tokens
 from seatlens.schemas import ROW_ORDER, Feed, quoted
 from seatlens.session import broadcast_if_small, stage, task_slots
+from seatlens.sources.records import to_batches
 from seatlens.sources.workbooks import unique_names
 
 _HEADERS = "uri string, header array<string>, error string"
@@ -55,24 +56,23 @@ def preferred_files(files: DataFrame, feed: Feed) -> DataFrame:
     return files.where(by_month | ~any_by_month)
 
 
+def _header(uri: str) -> tuple[str, list[str] | None, str | None]:
+    """The first record of a file, reading no more than its first block."""
+    try:
+        system, path = FileSystem.from_uri(uri)
+        with system.open_input_stream(path) as stream:
+            lines = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
+            header = next((r for r in csv.reader(lines) if r), None)
+        if header is None:
+            raise ValueError("no columns")
+        return uri, unique_names(header), None
+    except Exception as problem:  # noqa: BLE001 - any defect of one file is that file's error
+        return uri, None, f"{type(problem).__name__}: {problem}"
+
+
 def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first record of each file, reading no more than its first block."""
     for batch in batches:
-        found = []
-        for uri in batch["uri"].to_pylist():
-            try:
-                system, path = FileSystem.from_uri(uri)
-                with system.open_input_stream(path) as stream:
-                    lines = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
-                    header = next((r for r in csv.reader(lines) if r), None)
-                if header is None:
-                    raise ValueError("no columns")
-                found.append((uri, unique_names(header), None))
-            except Exception as problem:  # noqa: BLE001 - any defect of one file is that file's error
-                found.append((uri, None, f"{type(problem).__name__}: {problem}"))
-        columns = zip(*found, strict=True)
-        arrays = [pa.array(c, f.type) for c, f in zip(columns, _HEADERS_ARROW, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=_HEADERS_ARROW)
+        yield from to_batches(map(_header, batch["uri"].to_pylist()), _HEADERS_ARROW)
 
 
 def scan_csv(spark: SparkSession, paths: list[str], header: list[str], multiline: bool) -> DataFrame:

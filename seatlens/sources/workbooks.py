@@ -15,6 +15,7 @@ from seatlens.functions import parse, text
 from seatlens.schemas import Feed
 from seatlens.session import broadcast_if_small, stage
 from seatlens.sources.periods import file_period
+from seatlens.sources.records import to_batches
 from seatlens.sources.xlsx import first_sheet
 
 _DECODED = "source_file string, row_pos bigint, cells map<string,string>, error string"
@@ -26,7 +27,6 @@ _DECODED_ARROW = pa.schema(
         ("error", pa.string()),
     ]
 )
-_ROWS_PER_BATCH = 10_000
 _NO_MONTH = "no month in name, content or folder"
 
 
@@ -72,11 +72,7 @@ def _records(path: str, content: bytes) -> Iterator[tuple]:
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
-            records = _records(path.as_py(), content.as_py())
-            while chunk := list(itertools.islice(records, _ROWS_PER_BATCH)):
-                columns = zip(*chunk, strict=True)
-                arrays = [pa.array(c, f.type) for c, f in zip(columns, _DECODED_ARROW, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=_DECODED_ARROW)
+            yield from to_batches(_records(path.as_py(), content.as_py()), _DECODED_ARROW)
 
 
 def _within_one_level(folder: str) -> str:
