@@ -25,6 +25,21 @@ from seatlens.testtables import ORDER, Build, orders_desks, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The training-text operators are a part of their own: without it, the rest works.
+try:
+    import seatlens.llm.queries as llm_queries
+    import seatlens.llm.sql as llm_sql
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("seatlens.llm"):
+        raise
+    llm_queries = llm_sql = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("seatlens.llm"):
+        raise
+    corpus_pipeline = None
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Attendance, capacity, rate and hybrid flag per day and office."""
@@ -229,9 +244,14 @@ def queries() -> dict[str, Query]:
         "workbook_ingest": workbook_ingest,
         "workbook_landing": workbook_landing,
         "marts_build": _on("orders", lambda b: build(b).tables["fact_occupancy"]),
+        **(llm_queries.queries() if llm_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The expected result of each query, as SQL for DuckDB on the same tables."""
-    return oracle_queries.oracle_sql()
+    expected = oracle_queries.oracle_sql() | (llm_sql.oracle_sql() if llm_sql else {})
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        expected["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return expected
