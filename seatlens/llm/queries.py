@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seatlens.llm.jaccard import jaccard_groups
+from seatlens.llm.pii import pii_digests
+from seatlens.llm.secrets import secret_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +21,17 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(documents(spark, sf_dir), shingle=3, percent=90)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digests(documents(spark, sf_dir))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_jaccard_join": op1_jaccard_join}
+    return {
+        "op1_jaccard_join": op1_jaccard_join,
+        "op2_pii": op2_pii,
+        "op5_secrets": op5_secrets,
+    }
