@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seatlens.llm.jaccard import jaccard_groups
+from seatlens.llm import neighbours, rules
 from seatlens.llm.pii import pii_digests
 from seatlens.llm.secrets import secret_digests
 
@@ -17,6 +18,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(documents(spark, sf_dir), shingle=3, percent=90)
 
@@ -25,6 +30,16 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digests(documents(spark, sf_dir))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir), labels(spark, sf_dir)).drop("row")
+
+
+def op4_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = neighbours.held_out("doc_id", 4, 2)
+    scored = neighbours.classify(documents(spark, sf_dir), labels(spark, sf_dir), learn=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
@@ -33,5 +48,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
         "op2_pii": op2_pii,
+        "op3_quality_rules": op3_quality_rules,
+        "op4_quality_neighbours": op4_quality_neighbours,
         "op5_secrets": op5_secrets,
     }
