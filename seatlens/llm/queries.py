@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatlens.llm.jaccard import jaccard_groups
 from seatlens.llm import neighbours, rules
+from seatlens.llm.jaccard import jaccard_groups
+from seatlens.llm.language import identify
 from seatlens.llm.pii import pii_digests
 from seatlens.llm.secrets import secret_digests
 
@@ -44,6 +45,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = neighbours.held_out("doc_id", 3, 1)
+    found = identify(documents(spark, sf_dir), learn=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -51,4 +58,5 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": op3_quality_rules,
         "op4_quality_neighbours": op4_quality_neighbours,
         "op5_secrets": op5_secrets,
+        "op10_language": op10_language,
     }
