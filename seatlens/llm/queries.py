@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seatlens.llm import neighbours, rules
+from seatlens.llm import bpe, neighbours, rules
 from seatlens.llm.jaccard import jaccard_groups
 from seatlens.llm.language import identify
+from seatlens.llm.packing import pack
 from seatlens.llm.pii import pii_digests
 from seatlens.llm.secrets import secret_digests
 
@@ -45,6 +48,21 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = neighbours.held_out("doc_id", 3, 1)
     found = identify(documents(spark, sf_dir), learn=~held_out)
@@ -58,5 +76,7 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": op3_quality_rules,
         "op4_quality_neighbours": op4_quality_neighbours,
         "op5_secrets": op5_secrets,
+        "op7_packing": op7_packing,
+        "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
     }
