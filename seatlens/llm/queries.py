@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatlens.llm import bpe, neighbours, rules
+from seatlens.llm import bpe, hamming, neighbours, revisits, rules
 from seatlens.llm.jaccard import jaccard_groups
 from seatlens.llm.language import identify
 from seatlens.llm.packing import pack
@@ -48,10 +48,23 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
 
+def op6_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes = vectors.select(F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code"))
+    return hamming.nearest_codes(codes, codes.where(F.col("id") % 100 == 0), k=10)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = revisits.resolve_revisits(revisits.page_captures(pages))
+    lines = F.transform("headers", lambda h: F.concat(h["key"], F.lit(": "), h["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -76,7 +89,9 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": op3_quality_rules,
         "op4_quality_neighbours": op4_quality_neighbours,
         "op5_secrets": op5_secrets,
+        "op6_hamming_top_k": op6_hamming_top_k,
         "op7_packing": op7_packing,
+        "op8_revisits": op8_revisits,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
     }

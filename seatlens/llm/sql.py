@@ -48,5 +48,68 @@ GROUP BY s.doc_id, s.n
 """
 
 
+_OP6 = """
+WITH coded AS (
+    SELECT vec_id AS id,
+           array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN embedding[1:64]], '')::BIT AS code
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+),
+ranked AS (
+    SELECT q.id AS query_id, b.id, bit_count(xor(q.code, b.code)) AS distance,
+           row_number() OVER (PARTITION BY q.id ORDER BY bit_count(xor(q.code, b.code)), b.id) AS rank
+    FROM coded q CROSS JOIN coded b WHERE q.id % 100 = 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+_OP8 = r"""
+WITH captures AS (
+    SELECT page_id * 4 + n AS record_id, n, page_id, md5(html) AS digest, (page_id % 100000 + n * 200000) AS at,
+           CASE n WHEN 1 THEN url || '#again' WHEN 2 THEN regexp_replace(url, '^https?', 'HTTP') ELSE url END AS url
+    FROM pages, range(4) t(n)
+),
+plain AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS p FROM captures),
+parts AS (
+    SELECT *,
+        regexp_replace(lower(regexp_extract(p, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]+)', 1)), ':(80|443)$', '') AS host,
+        regexp_replace(regexp_extract(p, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]+([^?]*)', 1), '/+$', '') AS path,
+        list_sort(list_filter(string_split(regexp_extract(p, '^[^?]*\?(.*)$', 1), '&'),
+            lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]*|fbclid|gclid)(=|$)'))) AS query
+    FROM plain
+),
+records AS (
+    SELECT *, CASE WHEN host <> '' THEN
+            host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS canonical_url,
+        CASE WHEN n = 0 THEN '"' || digest || '"' WHEN n = 1 THEN 'W/"' || digest || '"'
+             WHEN n = 3 AND page_id % 3 = 0 THEN '"changed"' END AS etag,
+        CASE WHEN n = 2 AND page_id % 5 = 0 THEN 'day 9' WHEN n IN (0, 2) THEN 'day ' || (page_id % 7) END AS modified
+    FROM parts
+),
+matched AS (
+    SELECT r.*, f.record_id AS full_id, f.digest AS full_digest, f.etag AS full_etag, f.modified AS full_modified
+    FROM records r LEFT JOIN records f
+      ON r.n > 0 AND f.n = 0 AND f.canonical_url = r.canonical_url AND f.at < r.at
+    QUALIFY row_number() OVER (PARTITION BY r.record_id ORDER BY f.at DESC NULLS LAST, f.record_id DESC NULLS LAST) = 1
+),
+judged AS (
+    SELECT *, CASE WHEN n = 0 THEN 'full' WHEN full_id IS NULL THEN 'no response'
+        WHEN etag IS NOT NULL THEN CASE WHEN regexp_replace(etag, '^W/', '') = full_etag THEN 'resolved' ELSE 'mismatch' END
+        WHEN modified IS NOT NULL THEN CASE WHEN modified = full_modified THEN 'resolved' ELSE 'mismatch' END
+        ELSE 'no validator' END AS status
+    FROM matched
+)
+SELECT record_id, canonical_url, CASE WHEN n = 0 THEN 'response' ELSE 'revisit' END AS record_type, status,
+    CASE WHEN status = 'full' THEN record_id WHEN status = 'resolved' THEN full_id END AS target_id,
+    array_to_string(list_filter([
+        'content-type: ' || CASE WHEN n = 0 OR status = 'resolved' THEN 'text/html' ELSE 'x/y' END,
+        'date: visit ' || n,
+        'etag: ' || CASE WHEN status = 'resolved' THEN coalesce(etag, full_etag) ELSE etag END,
+        'last-modified: ' || CASE WHEN status = 'resolved' THEN coalesce(modified, full_modified) ELSE modified END
+    ], lambda x: x IS NOT NULL), chr(10)) AS headers,
+    CASE WHEN status = 'full' THEN digest WHEN status = 'resolved' THEN full_digest END AS payload_digest
+FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard_join": _OP1}
+    return {"op1_jaccard_join": _OP1, "op6_hamming_top_k": _OP6, "op8_revisits": _OP8}
