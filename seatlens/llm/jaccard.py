@@ -37,7 +37,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatlens.llm import words as W
@@ -278,22 +278,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(partial(_linked, percent=percent), "u long, v long")
 
 
-def jaccard_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 90
-) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles`` and ``component_id``.
-
-    Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased.
-    ``component_id`` is the smallest id that links lead to, the row's own
-    included. Texts link when their sets of ``shingle``-word shingles have a
-    Jaccard similarity of ``percent`` / 100 or more. A text of fewer words is one
-    shingle; a text that is null or has no word has none and is linked with
-    nothing, its component is its own id.
-
-    Rows with equal texts are linked. Rows that share an id stay separate rows.
-    A null id never names a component unless all of its ids are null. Other
-    columns are ignored, whatever their names. An empty table gives an empty one.
-    """
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """Per row: id, text_hash, size, node and label, the smallest node of its component; null without a word."""
     text = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     id_type = text.schema["id"].dataType.simpleString()
     digest = f"id {id_type}, text_hash long, size long, node long, keys array<long>, sketch binary"
@@ -328,7 +314,26 @@ def jaccard_groups(
     more = _verified(second, sets, percent)
     groups = components(stage(more.union(groups.select(F.col("node").alias("u"), F.col("label").alias("v"))), "links"))
 
-    labelled = rows.select("id", "size", "node").join(groups, "node", "left").withColumn("label", label)
+    return rows.select("id", "text_hash", "size", "node").join(groups, "node", "left").withColumn("label", label)
+
+
+def jaccard_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 90
+) -> DataFrame:
+    """One row per row of ``docs``: id, ``n_shingles`` and ``component_id``.
+
+    Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased.
+    ``component_id`` is the smallest id that links lead to, the row's own
+    included. Texts link when their sets of ``shingle``-word shingles have a
+    Jaccard similarity of ``percent`` / 100 or more. A text of fewer words is one
+    shingle; a text that is null or has no word has none and is linked with
+    nothing, its component is its own id.
+
+    Rows with equal texts are linked. Rows that share an id stay separate rows.
+    A null id never names a component unless all of its ids are null. Other
+    columns are ignored, whatever their names. An empty table gives an empty one.
+    """
+    labelled = _labelled(docs, id_col, text_col, shingle, percent)
     smallest = labelled.where("label is not null").groupBy("label").agg(F.min("id").alias("smallest"))
     found = labelled.join(smallest, "label", "left")
     return found.select(
@@ -336,3 +341,24 @@ def jaccard_groups(
         F.col("size").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id"),
     )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80
+) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: the smallest id, then the smallest hash of the text.
+
+    Rows whose text is null or has no word are in no group and stay, though a row
+    that is there twice stays once. A null id is larger than all others. All
+    columns are kept.
+    """
+    labelled = _labelled(docs, id_col, text_col, shingle, percent)
+    row = F.struct(F.xxhash64("id").alias("id_hash__"), F.col("text_hash").alias("text_hash__"))
+    order = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("text_hash").alias("c"))
+    first = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min_by(row, order).alias("row"))
+    alone = labelled.where("label IS NULL").select(row.alias("row"))
+    chosen = stage(first.select("row").union(alone).distinct().select("row.*"), "chosen")
+    keys = ["id_hash__", "text_hash__"]
+    hashed = docs.withColumn(keys[0], F.xxhash64(id_col)).withColumn(keys[1], F.xxhash64(text_col))
+    once = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return hashed.join(chosen, keys).withColumn("once__", once).where("once__ = 1").select(*docs.columns)
