@@ -237,7 +237,7 @@ def _score(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.Rec
 
 
 def threshold(scored: DataFrame, marks: DataFrame) -> float:
-    """The path length below which a text is rejected, from the labelled rows; 0 without any.
+    """The path length below which a text is rejected, from the labelled rows; 0 without good and bad ones.
 
     Counts per bin of path length are aggregated over all labelled rows that pass
     the base rules. Of the bin borders that lose at most MOST_LOST of the good
@@ -252,7 +252,7 @@ def threshold(scored: DataFrame, marks: DataFrame) -> float:
     good[table["bin"]], bad[table["bin"]] = table["good"], table["bad"]
     lost, caught = np.cumsum(good), np.cumsum(bad)
     allowed = np.flatnonzero(lost <= MOST_LOST * lost[-1])
-    if not len(allowed) or not caught[allowed].max():
+    if not lost[-1] or not len(allowed) or not caught[allowed].max():
         return 0.0
     return float(allowed[caught[allowed].argmax()] + 1) / BINS
 
@@ -275,7 +275,7 @@ def judge(
 
     A null text has no words and fails the base rules. Rows that repeat are judged
     alike. Labels that are null, doubled (the smallest counts) or for no row do no
-    harm; without usable labels only the base rules reject. Other columns of
+    harm; without rows labelled good and bad only the base rules reject. Other columns of
     ``docs`` are ignored, whatever their names.
     """
     scored, _, least = _fit(statistics(docs, id_col, text_col), labels, id_col, label_col)
