@@ -5,14 +5,17 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from seatlens.functions import text  # noqa: E402
+from fixtures.files import write_csv_texts, write_workbooks  # noqa: E402
+from fixtures.tables import ORDER, Build, orders_desks, table  # noqa: E402
+from seatlens.functions import parse, text  # noqa: E402
 from seatlens.functions.days import occupancy_rate as rate  # noqa: E402
 from seatlens.operators import hybrid  # noqa: E402
 from seatlens.operators.grid import calendar_days  # noqa: E402
@@ -20,8 +23,6 @@ from seatlens.plans import clean, dims, facts, marts, profile, quality  # noqa:
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, conform  # noqa: E402
 from seatlens.session import new_folder, stage  # noqa: E402
 from seatlens.sources import csv_feeds, periods, tables, workbooks  # noqa: E402
-from seatlens.testfiles import write_workbooks  # noqa: E402
-from seatlens.testtables import ORDER, Build, orders_desks, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +84,46 @@ def hybrid_flags(b: Build) -> DataFrame:
     return hybrid.hybrid_flags(grid, dates=calendar_days(b.spark, b.window))
 
 
+def hybrid_flags_partial(b: Build) -> DataFrame:
+    """Flags where every seventh date is missing and only the first half of the days is known."""
+    grid = b.grid(by_lob=True).select("date", "date_key", "office_location", "line_of_business", "attendance_count")
+    gone = F.when(F.col("date_key") % 7 != 0, F.col("date")).alias("date")
+    fact = grid.select(gone, "office_location", "line_of_business", "attendance_count", "date_key")
+    known = calendar_days(b.spark, b.window).where(F.day("date") <= 15)
+    return hybrid.hybrid_flags(fact, dates=known)
+
+
+def fact_sorted_export(b: Build) -> DataFrame:
+    """Write the fact and the by-office report as sorted CSV; read them back with their row numbers."""
+    folder = new_folder(b.spark, "export")
+    tables.write_csv(b.fact, f"{folder}/fact", ["date_key", "office_location", "line_of_business"])
+    tables.write_csv(quality.worst_first(quality.by_location_summary(b.fact)), f"{folder}/offices")
+
+    def numbered(name: str, first: str, second: str) -> DataFrame:
+        lines = b.spark.read.option("header", True).csv(f"{folder}/{name}")
+        place = F.struct(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("n"))
+        rows = lines.select(F.lit(name).alias("export"), place.alias("place"), F.concat_ws("|", first, second).alias("row"))
+        return rows.withColumn("number", F.row_number().over(Window.partitionBy("export").orderBy("place"))).drop("place")
+
+    return numbered("fact", "date_key", "attendance_count").unionByName(numbered("offices", "office_location", "rows"))
+
+
+def reports_roundtrip(b: Build) -> DataFrame:
+    """Write the reports twice over the same folder, the second time for this build, and read them back."""
+    folder = new_folder(b.spark, "reports")
+    fact = stage(b.fact, "fact")
+    written = quality.quality_report(fact, b.aggregated, b.locations, b.daily, b.snapshots)
+    earlier = {**written, "deskcount_merge_issues": quality.missing_capacity(fact)}
+    tables.write_reports(earlier, folder)
+    names = tables.write_reports(written, folder)
+    read = lambda n: b.spark.read.option("header", True).csv(f"{folder}/{n}")
+    counts = [
+        read(n).agg(F.lit(n).alias("report"), F.count("*").alias("rows")) for n in names if n != "validation_summary"
+    ]
+    lines = b.spark.read.text(f"{folder}/validation_summary").agg(F.lit("validation_summary").alias("report"), F.count("*").alias("rows"))
+    return reduce(DataFrame.union, counts, lines)
+
+
 def weekday_weekend_mean(b: Build) -> DataFrame:
     means = quality.weekday_weekend_mean(b.fact)
     return means.select(*[F.round(c, 6).alias(c) for c in means.columns])
@@ -91,7 +132,7 @@ def weekday_weekend_mean(b: Build) -> DataFrame:
 def validation_summary(b: Build) -> DataFrame:
     """Both facts come from the same office days, which are worked out once."""
     days = stage(b.office_days(by_lob=True), "office_days")
-    fact = facts.fact_occupancy(days, b.daily, b.lobs, b.window)
+    fact = facts.fact_occupancy(days, b.lobs)
     aggregated = facts.fact_occupancy_aggregated(days)
     return quality.validation_summary(fact, aggregated, b.locations, b.daily, b.snapshots)
 
@@ -136,6 +177,26 @@ def combine_union(b: Build) -> DataFrame:
     return combined.rows.select(*layouts[1])
 
 
+def csv_rejected(b: Build) -> DataFrame:
+    """Visits in CSV files of one day each, some of them unusable; what is kept and what is left out."""
+    folder = new_folder(b.spark, "csv-bad")
+    day = F.dayofmonth("LogonDate")
+    header = F.when(day % 5 == 1, "OFFICELOCATION ,LogonDate,Username").otherwise("Username,OfficeLocation,LogonDate")
+    cells = (
+        F.when(day % 5 == 1, F.concat(F.lit('"'), F.trim("OfficeLocation"), F.lit('",'), F.concat_ws(",", "LogonDate", "Username")))
+        .when((day % 5 == 2) & (F.col("seq") % 2 == 0), F.concat_ws(",", "Username", F.lit("x"), "LogonDate", F.lit("too much")))
+        .when(day % 5 == 3, F.concat(F.col("Username").cast("string"), F.lit(',"two\nlines",'), F.col("LogonDate").cast("string")))
+        .otherwise(F.concat_ws(",", "Username", F.lit("x"), "LogonDate"))
+    )
+    name = F.concat(F.when(day % 5 == 4, "_").otherwise(""), F.lit("day"), day.cast("string"), F.lit(".csv"))
+    write_csv_texts(b.raw.visits.select(name.alias("file"), header.alias("header"), cells.alias("line"), "seq"), folder)
+    combined = csv_feeds.combine_feed(b.spark, folder, OCCUPANCY)
+    file = F.regexp_extract("source_file", "[^/]+$", 0).alias("file")
+    kept = combined.rows.groupBy(file).agg(F.count("*").alias("rows"), F.max("OfficeLocation").alias("office"))
+    left = combined.rejected.select(file, F.lit(0).cast("bigint").alias("rows"), F.col("error").alias("office"))
+    return kept.unionByName(left)
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("o_orderdate")
     span = table(spark, sf_dir, "orders").agg(F.min(day).alias("first_date"), F.max(day).alias("last_date"))
@@ -184,7 +245,62 @@ def workbook_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the workbooks as a table by month; of several per month the last counts."""
     folder = _desk_workbooks(spark, sf_dir)
     landed = workbooks.ingest_workbooks(spark, folder, DESKCOUNT, new_folder(spark, "landed"))
-    return landed.select("year_month", *_DESK_COLUMNS)
+    return landed.rows.select("year_month", *_DESK_COLUMNS)
+
+
+def workbook_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks per snapshot, of which most name no month: all of them are listed, the others land."""
+    folder, out = new_folder(spark, "Deskcount"), new_folder(spark, "landed")
+    seq = F.col("seq")
+    name = F.concat(F.when(seq % 10 == 0, F.date_format("Date", "2024-MM ")).otherwise(""), F.lit("desks "), seq.cast("string"), F.lit(".xlsx"))
+    desks = orders_desks(spark, sf_dir).withColumn("file", name).withColumn("When", F.col("Date"))
+    write_workbooks(desks, folder, "file", ["OfficeLocation", "Deskcount", "When"], "seq")
+    try:
+        workbooks.ingest_workbooks(spark, folder, DESKCOUNT, out)
+    except workbooks.BadFiles:
+        pass
+    bad = spark.read.parquet(f"{out}_rejected")
+    file = F.regexp_extract("source_file", "[^/]+$", 0).alias("file")
+    landed = spark.read.parquet(out).groupBy().agg(F.lit("landed").alias("file"), F.count("*").cast("string").alias("error"))
+    return bad.select(file, "error").union(landed)
+
+
+def workbook_header_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks whose headers differ in case and blanks land as one set of columns."""
+    folder = new_folder(spark, "Deskcount")
+    desks = orders_desks(spark, sf_dir)
+    spellings = [_DESK_COLUMNS, ["officelocation", "DESKCOUNT ", "rsf", " date", "Include In Occupancy Calculation "]]
+    for part, names in enumerate(spellings):
+        file = F.concat(F.date_format("Date", "yyyy-MM"), F.lit(".xlsx"))
+        own = desks.where(F.month("Date") % 2 == part).select("seq", file.alias("file"), *[F.col(c).alias(n) for c, n in zip(_DESK_COLUMNS, names, strict=True)])
+        write_workbooks(own, folder, "file", names, "seq")
+    landed = workbooks.ingest_workbooks(spark, folder, DESKCOUNT, new_folder(spark, "landed")).rows
+    return clean.clean_deskcount(landed)
+
+
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates written in sixteen layouts, and some that are no dates."""
+    key, d = F.col("o_orderkey"), F.to_date("o_orderdate")
+    layouts = [
+        "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "MM/dd/yyyy", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm",
+        "yyyy/MM/dd", "yyyyMMdd", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MM-dd-yyyy", "d MMMM yyyy", "'13/'d/yyyy", "'week 'd",
+    ]
+    written = F.coalesce(*[F.when(key % len(layouts) == i, F.date_format(d, f)) for i, f in enumerate(layouts)])
+    orders = table(spark, sf_dir, "orders").select(key, F.when(key % 3 == 0, F.upper(written)).otherwise(written).alias("text"))
+    return orders.select("o_orderkey", parse.date_or_null(F.col("text")).alias("day"))
+
+
+def parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances written in several ways, and some that are no plain numbers."""
+    key, value = F.col("s_suppkey"), F.round("s_acctbal", 2).cast("decimal(18,2)").cast("string")
+    written = (
+        F.when(key % 5 == 0, F.concat(F.lit("  "), value, F.lit(" ")))
+        .when(key % 5 == 1, F.concat(value, F.lit("e1")))
+        .when(key % 5 == 2, F.concat(value, F.lit(" desks")))
+        .when(key % 5 == 3, F.concat(F.lit("1,"), value))
+        .otherwise(value)
+    )
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.round(parse.number_or_null(written), 3).alias("number"))
 
 
 def _on(variant: str, query: Callable[[Build], DataFrame]) -> Query:
@@ -231,6 +347,11 @@ _EVENTS_ONLY: dict[str, Callable[[Build], DataFrame]] = {
     "fact_sample": fact_sample,
     "combine_union": combine_union,
     "publish_roundtrip": publish_roundtrip,
+    "hybrid_flags_partial": hybrid_flags_partial,
+    "business_profile": lambda b: profile.business_profile(b.lobs),
+    "fact_sorted_export": fact_sorted_export,
+    "reports_roundtrip": reports_roundtrip,
+    "csv_rejected": csv_rejected,
 }
 
 
@@ -240,9 +361,14 @@ def queries() -> dict[str, Query]:
     entries |= {f"{n}_orders": _on("orders", q) for n, q in _BOTH_VARIANTS.items()}
     return entries | {
         "dim_date": dim_date,
+        "calendar_profile": lambda spark, sf_dir: profile.calendar_profile(dim_date(spark, sf_dir)),
+        "parse_dates": parse_dates,
+        "parse_numbers": parse_numbers,
         "period_inference": period_inference,
         "workbook_ingest": workbook_ingest,
         "workbook_landing": workbook_landing,
+        "workbook_rejected": workbook_rejected,
+        "workbook_header_drift": workbook_header_drift,
         "marts_build": _on("orders", lambda b: build(b).tables["fact_occupancy"]),
         **(llm_queries.queries() if llm_queries else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),

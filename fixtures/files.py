@@ -62,3 +62,17 @@ def write_workbooks(df: DataFrame, folder: str, name: str, columns: Sequence[str
 
     typed = df.select(name, order, *[F.col(c).cast("string") for c in columns])
     return typed.groupBy(name).applyInPandas(write, "file string").count()
+
+
+def write_csv_texts(df: DataFrame, folder: str) -> int:
+    """Write rows of (file, header, line, seq) as one text file per name, just as the lines are; return their number."""
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        file_name = group["file"].iloc[0]
+        system, path = _path_in(folder, file_name)
+        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(path) as out:
+            out.write("\n".join([group["header"].iloc[0], *group.sort_values("seq")["line"], ""]).encode())
+        return pd.DataFrame({"file": [file_name]})
+
+    return df.groupBy("file").applyInPandas(write, "file string").count()

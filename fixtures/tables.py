@@ -175,7 +175,7 @@ class Build:
         return facts.dense_attendance(self.daily, self.window, self.locations, lobs)
 
     def office_days(self, by_lob: bool) -> DataFrame:
-        lobs = facts.packable(self.lobs) if by_lob else None
+        lobs = self.lobs if by_lob else None
         return facts.office_days(self.daily, self.snapshots, self.locations, self.window, ORDER, lobs)
 
     @cached_property
@@ -184,4 +184,4 @@ class Build:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return facts.fact_occupancy(self.office_days(by_lob=True), self.daily, self.lobs, self.window)
+        return facts.fact_occupancy(self.office_days(by_lob=True), self.lobs)

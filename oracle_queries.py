@@ -204,7 +204,14 @@ SELECT 'visits loaded' AS step, count(*) AS rows FROM raw_visits
 UNION ALL SELECT 'visits de-duplicated', count(*) FROM first_visits
 UNION ALL SELECT 'visits outside the window',
                  count(*) FILTER (NOT logon_date BETWEEN grid_start AND grid_end) FROM visits, win
+UNION ALL SELECT 'visits without an office',
+                 count(*) FILTER (logon_date BETWEEN grid_start AND grid_end AND office IS NULL) FROM visits, win
+UNION ALL SELECT 'visits of unknown offices',
+                 count(*) FILTER (logon_date BETWEEN grid_start AND grid_end AND office IS NOT NULL
+                                  AND office NOT IN (SELECT office FROM locations)) FROM visits, win
+UNION ALL SELECT 'visits in the fact', CAST(sum(attendance_count) AS BIGINT) FROM agg_fact
 UNION ALL SELECT 'snapshots loaded', count(*) FROM raw_desks
+UNION ALL SELECT 'snapshots without a flag', count(*) FILTER (include IS NULL) FROM raw_desks
 UNION ALL SELECT 'snapshots included', count(*) FROM snaps
 UNION ALL SELECT 'fact rows', count(*) FROM lob_fact
 UNION ALL SELECT 'fact rows with capacity', count(deskcount) FROM lob_fact
@@ -252,6 +259,64 @@ SELECT CAST(username AS VARCHAR) AS "Username", office_raw AS "OfficeLocation",
        CASE WHEN seq % 3 = 1 THEN dow END AS "DayofWeek"
 FROM raw_visits"""
 
+_FLAGS_PARTIAL = """
+, known AS (SELECT date, CAST(date_trunc('week', date) AS DATE) AS week_start,
+                   isodow(date) < 6 AND count(*) FILTER (isodow(date) < 6)
+                     OVER (PARTITION BY date_trunc('week', date), month(date)) >= 3 AS eligible
+            FROM days WHERE day(date) <= 15),
+kept AS (SELECT CASE WHEN date_key % 7 <> 0 THEN date END AS date, date_key, office_location, line_of_business,
+                attendance_count FROM lob_fact),
+totals AS (SELECT k.date, office_location, week_start, sum(attendance_count) AS n
+           FROM kept k JOIN known ON k.date = known.date WHERE eligible GROUP BY ALL),
+flagged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY office_location, week_start ORDER BY n DESC, date) AS place
+                           FROM totals) WHERE place <= 3)
+SELECT k.date, k.office_location, k.line_of_business, k.attendance_count, k.date_key, f.date IS NOT NULL AS is_hybrid_day
+FROM kept k LEFT JOIN flagged f ON f.date = k.date AND f.office_location = k.office_location"""
+
+_SORTED = f"""
+, offices AS ({_BY_LOCATION.strip()})
+SELECT 'fact' AS export, date_key || '|' || attendance_count AS "row",
+       CAST(row_number() OVER (ORDER BY date_key, office_location, line_of_business) AS INTEGER) AS number FROM lob_fact
+UNION ALL
+SELECT 'offices', office_location || '|' || rows,
+       CAST(row_number() OVER (ORDER BY merge_issues DESC, over_capacity_days DESC,
+                               mean_occupancy_rate NULLS LAST, office_location) AS INTEGER) FROM offices"""
+
+_REPORTS = f"""
+, counted AS (
+  SELECT 'deskcount_merge_issues' AS report, count(*) FILTER (attendance_count > 0 AND deskcount = 0) AS rows FROM lob_fact
+  UNION ALL SELECT 'missing_capacity', count(*) FILTER (attendance_count > 0 AND deskcount IS NULL) FROM lob_fact
+  UNION ALL SELECT 'over_capacity_days', count(*) FILTER (occupancy_rate > 1.0) FROM lob_fact)
+SELECT * FROM counted WHERE rows > 0
+UNION ALL SELECT 'by_location_summary', count(DISTINCT office_location) FROM lob_fact
+UNION ALL SELECT 'validation_summary', 10"""
+
+_CSV_REJECTED = """
+, filed AS (SELECT *, day(logon_date) AS d, CASE WHEN day(logon_date) % 5 = 4 THEN '_' ELSE '' END
+                   || 'day' || day(logon_date) || '.csv' AS file FROM raw_visits)
+SELECT file,
+       CASE WHEN d % 5 = 4 OR (d % 5 = 2 AND bool_or(seq % 2 = 0)) THEN 0 ELSE count(*) END AS rows,
+       CASE WHEN d % 5 = 4 THEN 'name begins with _ or . and is not listed'
+            WHEN d % 5 = 2 AND bool_or(seq % 2 = 0) THEN 'a line has more fields than the header'
+            WHEN d % 5 = 1 THEN max(trim(office_raw)) WHEN d % 5 = 3 THEN 'two' || chr(10) || 'lines' ELSE 'x' END AS office
+FROM filed GROUP BY file, d"""
+
+_WORKBOOKS_REJECTED = """
+SELECT 'desks ' || seq || '.xlsx' AS file, 'no month in name, content or folder' AS error FROM raw_desks WHERE seq % 10 <> 0
+UNION ALL
+SELECT 'landed', CAST(count(*) AS VARCHAR) FROM (
+  SELECT row_number() OVER (PARTITION BY month(date) ORDER BY CAST(seq AS VARCHAR) DESC) AS place
+  FROM raw_desks WHERE seq % 10 = 0) WHERE place = 1"""
+
+_PARSED_DATES = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 16 < 14 THEN CAST(o_orderdate AS DATE) END AS day FROM orders"""
+
+_PARSED_NUMBERS = """
+SELECT s_suppkey, CASE s_suppkey % 5 WHEN 2 THEN NULL WHEN 3 THEN NULL
+                  WHEN 1 THEN round(CAST(CAST(round(s_acctbal, 2) AS DECIMAL(18, 2)) AS DOUBLE) * 10, 3)
+                  ELSE CAST(CAST(round(s_acctbal, 2) AS DECIMAL(18, 2)) AS DOUBLE) END AS number
+FROM supplier"""
+
 _FACT = "SELECT * FROM lob_fact"
 _AGG = "SELECT * FROM agg_fact"
 _PUBLISHED = "SELECT * REPLACE (CAST(attendance_count AS INTEGER) AS attendance_count) FROM agg_fact"
@@ -311,6 +376,11 @@ _EVENTS_ONLY = {
     "fact_sample": "SELECT * FROM lob_fact ORDER BY date_key, office_location, line_of_business LIMIT 10",
     "combine_union": _COMBINED,
     "publish_roundtrip": _PUBLISHED,
+    "hybrid_flags_partial": _FLAGS_PARTIAL,
+    "business_profile": "SELECT count(*) AS businesses, min(lob_key) AS first_key, max(lob_key) AS last_key FROM lobs",
+    "fact_sorted_export": _SORTED,
+    "reports_roundtrip": _REPORTS,
+    "csv_rejected": _CSV_REJECTED,
 }
 
 
@@ -319,6 +389,15 @@ def oracle_sql() -> dict[str, str]:
     for name, body in _WITH_SEVERAL_VARIANTS.items():
         queries[f"{name}_orders"] = _sql(body, "orders")
     queries["dim_date"] = _DIM_DATE.strip()
+    queries["calendar_profile"] = (
+        "SELECT count(*) AS days, min(date) AS first_date, max(date) AS last_date, min(date_key) AS first_key,"
+        " max(date_key) AS last_key, count(DISTINCT year) AS years, min(year) AS first_year, max(year) AS last_year"
+        f" FROM ({_DIM_DATE.strip()})"
+    )
+    queries["parse_dates"] = _PARSED_DATES.strip()
+    queries["parse_numbers"] = _PARSED_NUMBERS.strip()
+    queries["workbook_rejected"] = _sql(_WORKBOOKS_REJECTED, "orders")
+    queries["workbook_header_drift"] = _sql(_WITH_SEVERAL_VARIANTS["clean_deskcount"], "orders")
     queries["period_inference"] = _PERIODS.strip()
     queries["workbook_ingest"] = _sql(_DECODED, "orders")
     queries["workbook_landing"] = _sql(_LANDED, "orders")

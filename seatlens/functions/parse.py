@@ -6,17 +6,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Date layouts understood besides ISO, month first.
-_DATE_LAYOUTS = ["M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss"]
+# Numeric date layouts understood besides ISO, month first.
+_DATE_LAYOUTS = [
+    "M/d/yyyy",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
+    "M/d/yy",
+    "M-d-yyyy",
+    "yyyy/M/d",
+    "yyyyMMdd",
+]
+# A day, a month's name or its first three letters, and a year, in
+# either order; a time may follow.
+_MONTHS = "january february march april may june july august september october november december".split()
+_MONTH = "(" + "|".join(m if len(m) == 3 else f"{m[:3]}(?:{m[3:]})?" for m in _MONTHS) + r")\.?"
+_SHORT = "".join(m[:3] for m in _MONTHS)
+_DAY_FIRST = rf"^(\d{{1,2}})[-\s/]{_MONTH}[-\s/,]+(\d{{4}}|\d{{2}})(?:[\sT].*)?$"
+_MONTH_FIRST = rf"^{_MONTH}[-\s](\d{{1,2}})(?:,\s*|[-\s])(\d{{4}})(?:[\sT].*)?$"
 _NUMBER = r"\A\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 
 
+def _named_month(text: Column) -> Column:
+    """The day of a date that spells its month, or null."""
+    lowered = F.lower(text)
+
+    def made(pattern: str, day: int, month: int, year: int) -> Column:
+        part = lambda group: F.regexp_extract(lowered, pattern, group)
+        number = F.floor((F.instr(F.lit(_SHORT), F.left(part(month), F.lit(3))) + 2) / 3)
+        whole = F.when(F.length(part(year)) == 2, F.concat(F.lit("20"), part(year))).otherwise(part(year))
+        written = F.concat_ws("-", whole, number.cast("string"), part(day))
+        return F.when(lowered.rlike(pattern), F.try_to_timestamp(written, F.lit("yyyy-M-d")).cast("date"))
+
+    return F.coalesce(made(_DAY_FIRST, 1, 2, 3), made(_MONTH_FIRST, 2, 1, 3))
+
+
 def date_or_null(c: Column) -> Column:
-    """The day of a date or date-time text; anything else is null."""
+    """The day of a date or date-time text, month before day; anything else is null."""
     text = F.trim(c)
     attempts = [text.try_cast("date")]
-    attempts += [F.try_to_timestamp(text, F.lit(layout)).cast("date") for layout in _DATE_LAYOUTS]
-    return F.coalesce(*attempts)
+    attempts += [F.try_to_timestamp(F.upper(text), F.lit(layout)).cast("date") for layout in _DATE_LAYOUTS]
+    return F.coalesce(*attempts, _named_month(text))
 
 
 def date_or_error(c: Column) -> Column:

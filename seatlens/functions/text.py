@@ -66,6 +66,16 @@ def same_text(c: Column, text: str) -> Column:
     return F.lower(F.trim(c)) == text.strip().lower()
 
 
+def folded(c: Column) -> Column:
+    """A column name without the differences that headers drift in: case and outer blanks."""
+    return F.lower(F.trim(c))
+
+
+def first_known(values: Column) -> Column:
+    """The first of an array of cell texts that does not mean "missing"."""
+    return F.get(F.filter(values, lambda v: v.isNotNull() & ~v.isin(NULL_TOKENS)), F.lit(0))
+
+
 def blank_null_tokens(c: Column) -> Column:
     return F.when(~c.isin(NULL_TOKENS), c)
 

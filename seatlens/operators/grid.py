@@ -68,12 +68,13 @@ def office_grid(locations: DataFrame, window: Window) -> DataFrame:
     """Every office on every day of the window.
 
     Each office row generates its own calendar, so the product needs no join.
+    The office days are then dealt out evenly, before the far more numerous rows
+    per business unfold from them: few offices don't keep tasks idle.
     """
     span = days_between(window.grid_start, window.grid_end)
-    spread = locations.repartition(window.tasks(locations.sparkSession), "office_location")
-    return spread.select(
-        "location_key", "office_location", F.explode(span).alias("date")
-    ).withColumn("date_key", date_key(F.col("date")))
+    grid = locations.select("location_key", "office_location", F.explode(span).alias("date"))
+    spread = grid.repartition(window.tasks(locations.sparkSession), "location_key", "date")
+    return spread.withColumn("date_key", date_key(F.col("date")))
 
 
 def with_lobs(grid: DataFrame, lobs: DataFrame) -> DataFrame:

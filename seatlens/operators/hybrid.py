@@ -69,7 +69,8 @@ def hybrid_flags(
 
     Totals and ranks are windows over one shuffle by office and week; no top-k
     set is joined back. ``dates`` may name the fact's days where they are known
-    without a pass over it.
+    without a pass over it. Every row of the fact stays: one whose date is null
+    or not among ``dates`` is no hybrid day.
     """
     days = fact if dates is None else dates
     # At most one row per calendar day is broadcast.
@@ -77,7 +78,8 @@ def hybrid_flags(
     day = W.partitionBy("office_location", "week_start", "date")
     return (
         fact.withColumn("week_start", week_start(F.col("date")))
-        .join(eligible, "date")
+        .join(eligible, "date", "left")
+        .withColumn("eligible", F.coalesce("eligible", F.lit(False)))
         .repartition("office_location", "week_start")
         .withColumn("_day_total", F.sum("attendance_count").over(day))
         .withColumn("is_hybrid_day", in_top_days(F.col("_day_total"), k))

@@ -8,32 +8,20 @@ from pyspark.sql import functions as F
 
 from seatlens.session import stage, task_slots
 
-# Up to this many distinct values one task numbers them; beyond it they are
-# numbered range by range. Both give the same keys.
-ONE_TASK_VALUES = 1_000_000
 
-
-def dense_keys(df: DataFrame, column: str, key: str, one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
+def dense_keys(df: DataFrame, column: str, key: str) -> DataFrame:
     """Number the distinct non-null values 1, 2, 3, … in code-point order.
 
-    The distinct values are written once, so that every consumer of the key
-    sees the same numbering and none repeats the distinct over its input. The
-    null is dropped from the written values: a filter before would be pushed
-    down to the input and compute the column's expression once more per row.
+    The values are cut into ranges and numbered range by range, so no task sees
+    them all; one offset per range comes before the number within it. The ranges
+    are written once, so that every consumer of the key sees the same numbering
+    and none repeats the distinct over its input. The null is dropped from the
+    written values: a filter before would be pushed down to the input and compute
+    the column's expression once more per row.
     """
-    values = stage(df.select(column).distinct(), key).where(F.col(column).isNotNull())
-    if values.count() <= one_task_values:
-        number = F.row_number().over(W.orderBy(column))
-        return values.select(number.cast("int").alias(key), column)
-    return _number_by_range(values, column, key)
-
-
-def _number_by_range(values: DataFrame, column: str, key: str) -> DataFrame:
-    ranges = task_slots(values.sparkSession)
-    sliced = stage(
-        values.repartitionByRange(ranges, column).withColumn("_slice", F.spark_partition_id()),
-        f"{key}-slices",
-    )
+    ranges = task_slots(df.sparkSession)
+    values = df.select(column).distinct().repartitionByRange(ranges, column)
+    sliced = stage(values.withColumn("_slice", F.spark_partition_id()), key).where(F.col(column).isNotNull())
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatlens.functions import days, parse, text
@@ -53,12 +53,16 @@ def clean_occupancy(raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFra
     )
 
 
+def include_flag(raw: DataFrame) -> Column | None:
+    """The include flag from all columns that are named so but for case and blanks; None without one."""
+    named = [quoted(c) for c in raw.columns if c.strip().lower() == INCLUDE_FLAG.lower()]
+    return F.coalesce(*named) if named else None
+
+
 def included(raw: DataFrame) -> DataFrame:
     """Rows whose include flag says yes; all rows when there is no such column."""
-    for name in raw.columns:
-        if name.strip().lower() == INCLUDE_FLAG.lower():
-            return raw.where(text.same_text(quoted(name), "yes"))
-    return raw
+    flag = include_flag(raw)
+    return raw if flag is None else raw.where(text.same_text(flag, "yes"))
 
 
 def clean_deskcount(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:

@@ -57,12 +57,14 @@ def latest_area(desk_raw: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFr
     """The newest known floor area of each office, by snapshot date.
 
     Spellings of one office are merged first, and snapshots count whether or
-    not they are included in the occupancy calculation.
+    not they are included in the occupancy calculation. Without a column of
+    areas none is known.
     """
+    area = F.col("RSF") if "RSF" in desk_raw.columns else F.lit(None).cast("string")
     day = parse.as_date(F.col("Date"), desk_raw.schema["Date"].dataType)
     rows = desk_raw.select(
         text.location_or_null(F.col("OfficeLocation")).alias("office_location"),
-        parse.number_or_null(F.col("RSF")).cast("int").alias("RSF"),
+        parse.number_or_null(area).cast("int").alias("RSF"),
         day.alias("date"),
         *order,
     ).where(F.col("office_location").isNotNull())

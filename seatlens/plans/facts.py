@@ -20,10 +20,6 @@ from seatlens.operators.hybrid import eligible_dates, in_top_days
 from seatlens.plans.dims import Calendar
 from seatlens.schemas import TABLES, conform
 
-# Up to this many lines of business, an office day carries all their counts in
-# one row; beyond it the counts are joined to the exploded grid.
-PACKED_LOBS = 10_000
-
 _BEFORE_ALL = "0001-01-01"
 
 
@@ -71,11 +67,22 @@ def _coverage(daily: DataFrame, snapshots: DataFrame, calendar: Calendar) -> Dat
     )
 
 
-def visits_outside(daily: DataFrame, window: Window) -> DataFrame:
-    """How many visits the grid does not show because their day is outside it."""
-    shown = F.coalesce(window.holds(F.col("date")), F.lit(False))
-    lost = F.sum(F.when(shown, 0).otherwise(F.col("attendance_count")))
-    return daily.agg(F.coalesce(lost, F.lit(0)).alias("visits_outside"))
+def lost_visits(daily: DataFrame, window: Window, locations: DataFrame) -> DataFrame:
+    """One row: the visits that no fact row counts, by the first reason that holds.
+
+    Their day is outside the grid, they name no office, or an office that the
+    dimension spells differently. With the facts' attendance they add up to all.
+    """
+    known = locations.select("office_location", F.lit(True).alias("known"))
+    n = F.col("attendance_count")
+    outside = ~F.coalesce(window.holds(F.col("date")), F.lit(False))
+    without = F.col("office_location").isNull()
+    total = lambda condition: F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+    return daily.join(known, "office_location", "left").agg(
+        total(outside).alias("outside"),
+        total(~outside & without).alias("without_office"),
+        total(~outside & ~without & F.col("known").isNull()).alias("unknown_office"),
+    )
 
 
 def attendance_by(daily: DataFrame, window: Window, by_lob: bool) -> DataFrame:
@@ -216,25 +223,14 @@ def fact_occupancy_aggregated(office_days: DataFrame) -> DataFrame:
     return conform(_rated(office_days), TABLES["fact_occupancy_aggregated"])
 
 
-def fact_occupancy(office_days: DataFrame, daily: DataFrame, lobs: DataFrame, window: Window) -> DataFrame:
+def fact_occupancy(office_days: DataFrame, lobs: DataFrame) -> DataFrame:
     """Attendance, capacity, rate and hybrid flag per day, office and business.
 
-    The rate of a business is over the whole office's desks, and the flag is
-    the office's: businesses only split the attendance.
+    ``office_days`` must list its counts by business. The rate of a business is
+    over the whole office's desks, and the flag is the office's: businesses only
+    split the attendance.
     """
-    if "by_lob" in office_days.columns:
-        fact = _unpack_lobs(office_days, lobs)
-    else:
-        grid = with_lobs(office_days.drop("attendance_count"), lobs)
-        counts = attendance_by(daily, window, by_lob=True)
-        keys = ["date_key", "office_location", "line_of_business"]
-        fact = fill_counts(grid, counts, keys, "attendance_count")
-    return conform(_rated(fact), TABLES["fact_occupancy"])
-
-
-def packable(lobs: DataFrame) -> DataFrame | None:
-    """The dimension itself if :func:`office_days` may pack its counts."""
-    return lobs if lobs.count() <= PACKED_LOBS else None
+    return conform(_rated(_unpack_lobs(office_days, lobs)), TABLES["fact_occupancy"])
 
 
 def _rated(fact: DataFrame) -> DataFrame:
@@ -245,20 +241,16 @@ def _rated(fact: DataFrame) -> DataFrame:
 def _unpack_lobs(packed: DataFrame, lobs: DataFrame) -> DataFrame:
     """One row per business from office days that list their counts.
 
-    The rows are generated where the office day already is: the largest frame
-    of the build is never shuffled. Names are looked up by dense key in an
-    array of at most PACKED_LOBS names.
+    The rows are generated where the office day already is. Names are looked up
+    by an equi-join on the dense key, whose side the optimizer broadcasts only
+    when it is small; then the largest frame of the build is never shuffled.
     """
-    ordered = F.sort_array(F.collect_list(F.struct("lob_key", "line_of_business")))
-    names = lobs.agg(ordered["line_of_business"].alias("names")).scalar()
-    listed = F.coalesce(
-        "by_lob", F.array().cast("array<struct<lob_key:int,attendance_count:bigint>>")
-    )
-    last_key = lobs.count()
-    every_key = F.sequence(F.lit(1), F.lit(last_key)) if last_key else F.array().cast("array<int>")
+    last_key = F.coalesce(lobs.agg(F.max("lob_key")).scalar(), F.lit(0))
+    nothing = F.array().cast("array<struct<lob_key:int,attendance_count:bigint>>")
+    every_key = F.when(last_key > 0, F.sequence(F.lit(1), last_key)).otherwise(F.array().cast("array<int>"))
+    listed = F.coalesce("by_lob", nothing)
     absent = F.array_except(every_key, listed["lob_key"])
-    zeros = F.transform(
-        absent, lambda k: F.struct(k.alias("lob_key"), F.lit(0).cast("bigint").alias("attendance_count"))
-    )
+    none = F.array_repeat(F.lit(0).cast("bigint"), F.size(absent))
+    zeros = F.arrays_zip(absent.alias("lob_key"), none.alias("attendance_count"))
     rows = packed.drop("attendance_count").withColumn("lob", F.explode(F.concat(listed, zeros)))
-    return rows.select("*", "lob.*", F.element_at(names, F.col("lob.lob_key")).alias("line_of_business"))
+    return rows.select("*", "lob.*").join(lobs.select("lob_key", "line_of_business"), "lob_key")

@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seatlens.plans import clean, dims, facts, profile, quality
 from seatlens.plans.dims import Calendar
 from seatlens.schemas import DESKCOUNT, FEEDS, OCCUPANCY, ROW_ORDER, TABLES, Feed, conform
-from seatlens.session import new_folder
+from seatlens.session import new_folder, temporary_stages
 from seatlens.sources import tables as sinks
 from seatlens.sources.csv_feeds import combine_feed
-from seatlens.sources.workbooks import ingest_workbooks
+from seatlens.sources.workbooks import ingest_workbooks, raise_rejected
+
+_MONTH = ("year", "month")
 
 
 @dataclass(frozen=True)
@@ -37,34 +39,58 @@ def build_marts(
 
     Each table is written once and read back by its consumers, so the visits
     are read and de-duplicated a single time, and a lost executor costs no more
-    than its unfinished tasks. Without a folder the shared one is used.
+    than its unfinished tasks. Without a folder the shared one is used. What was
+    staged on the way is deleted at the end.
+
+    Rows are counted while they are written. Only the two ``loaded`` counts are
+    taken before a shuffle; where Spark has to run a lost map task again, they
+    count its rows twice.
     """
-    spark = visits_raw.sparkSession
-    root = folder or new_folder(spark, "marts")
+    with temporary_stages(visits_raw.sparkSession):
+        return _build(visits_raw, desk_raw, calendar, order, folder)
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
-    loaded, desk_loaded, desk_kept = Observation(), Observation(), Observation()
-    count = F.count(F.lit(1)).alias("rows")
-    visits = write("occupancy_clean", clean.clean_occupancy(visits_raw.observe(loaded, count), order))
-    snapshots = write(
-        "deskcount_clean",
-        clean.clean_deskcount(desk_raw.observe(desk_loaded, count), order).observe(desk_kept, count),
-    )
+def _build(
+    visits_raw: DataFrame, desk_raw: DataFrame, calendar: Calendar, order: Sequence[str], folder: str | None
+) -> Marts:
+    spark = visits_raw.sparkSession
+    root = folder or new_folder(spark, "marts")
+    seen: dict[str, Observation] = {}
+
+    def watched(name: str, df: DataFrame, **measures: Column) -> DataFrame:
+        seen[name] = Observation()
+        rows = F.count(F.lit(1)).alias("rows")
+        return df.observe(seen[name], rows, *[m.alias(k) for k, m in measures.items()])
+
+    def write(name: str, df: DataFrame, by: Sequence[str] = (), **measures: Column) -> DataFrame:
+        watched(name, df, **measures).write.mode("overwrite").partitionBy(*by).parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns)
+
+    flag = clean.include_flag(desk_raw)
+    unflagged = F.count_if(F.lit(False) if flag is None else flag.isNull())
+    cleaned = clean.clean_occupancy(watched("visits", visits_raw), order)
+    visits = write("occupancy_clean", cleaned.hint("rebalance", *_MONTH), by=_MONTH)
+    desks = watched("snapshots", desk_raw, unflagged=unflagged)
+    snapshots = write("deskcount_clean", clean.clean_deskcount(desks, order))
     daily = write("daily_attendance", facts.daily_attendance(visits))
     locations = write("dim_location", dims.dim_location(daily, desk_raw, order))
     lobs = write("dim_line_of_business", dims.dim_line_of_business(daily))
     window = facts.resolve_window(daily, snapshots, calendar)
-    days = write(
-        "office_days",
-        facts.office_days(daily, snapshots, locations, window, order, facts.packable(lobs)),
+    days = write("office_days", facts.office_days(daily, snapshots, locations, window, order, lobs))
+
+    # Tasks get ranges of days, so a file holds few months; inside a month rows are
+    # in report order, so a reader skips the row groups of other days.
+    capacity = F.count("deskcount")
+    spread = days.repartitionByRange(window.tasks(spark), "date_key", "location_key")
+    fact = facts.fact_occupancy(spread, lobs)
+    fact = fact.sortWithinPartitions(*_MONTH, "date_key", "office_location", "lob_key")
+    fact = write("fact_occupancy", fact, by=_MONTH, capacity=capacity)
+    aggregated = facts.fact_occupancy_aggregated(
+        days.repartitionByRange(max(1, window.tasks(spark) // 4), "date_key", "location_key")
     )
-    # The files of office days are small next to the rows they unfold into.
-    spread = days.repartition(window.tasks(spark), "location_key", "date_key")
-    fact = write("fact_occupancy", facts.fact_occupancy(spread, daily, lobs, window))
-    aggregated = write("fact_occupancy_aggregated", facts.fact_occupancy_aggregated(days))
+    aggregated = aggregated.sortWithinPartitions(*_MONTH, "date_key", "office_location")
+    attendance = F.sum("attendance_count")
+    aggregated = write("fact_occupancy_aggregated", aggregated, by=_MONTH, capacity=capacity, attendance=attendance)
 
     tables = {
         "occupancy_clean": visits,
@@ -75,18 +101,25 @@ def build_marts(
         "fact_occupancy": fact,
         "fact_occupancy_aggregated": aggregated,
     }
+    lost = facts.lost_visits(daily, window, locations).first()
+    rows = {name: observed.get for name, observed in seen.items()}
     steps = profile.step_counts(
         {
-            "visits loaded": loaded.get["rows"],
-            "visits de-duplicated": visits.agg(F.count("*")),
-            "visits outside the window": facts.visits_outside(daily, window),
-            "snapshots loaded": desk_loaded.get["rows"],
-            "snapshots included": desk_kept.get["rows"],
-            "fact rows": fact.agg(F.count("*")),
-            "fact rows with capacity": fact.agg(F.count("deskcount")),
-            "aggregated rows": aggregated.agg(F.count("*")),
-            "aggregated rows with capacity": aggregated.agg(F.count("deskcount")),
-        }
+            "visits loaded": rows["visits"]["rows"],
+            "visits de-duplicated": rows["occupancy_clean"]["rows"],
+            "visits outside the window": lost.outside,
+            "visits without an office": lost.without_office,
+            "visits of unknown offices": lost.unknown_office,
+            "visits in the fact": rows["fact_occupancy_aggregated"]["attendance"] or 0,
+            "snapshots loaded": rows["snapshots"]["rows"],
+            "snapshots without a flag": rows["snapshots"]["unflagged"],
+            "snapshots included": rows["deskcount_clean"]["rows"],
+            "fact rows": rows["fact_occupancy"]["rows"],
+            "fact rows with capacity": rows["fact_occupancy"]["capacity"],
+            "aggregated rows": rows["fact_occupancy_aggregated"]["rows"],
+            "aggregated rows with capacity": rows["fact_occupancy_aggregated"]["capacity"],
+        },
+        spark,
     )
     reports = quality.quality_report(fact, aggregated, locations, daily, snapshots)
     return Marts(tables, reports, steps)
@@ -101,25 +134,39 @@ def run_all(
     table: str | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    multiline: bool | None = None,
+    fail_on_rejected: bool = True,
 ) -> Marts:
     """From raw files to tables, reports and, if ``table`` is named, a published fact.
 
     ``inputs`` holds one folder per feed, with workbooks (``files="xlsx"``) or
-    CSV files (``files="csv"``). Raw tables go to ``folder``/raw, the star
-    schema to ``folder``/marts, the reports to ``folder``/reports. Errors of
-    any step, publishing included, are raised.
+    CSV files (``files="csv"``; ``multiline`` as in ``combine_feed``). Raw tables
+    go to ``folder``/raw, the star schema to ``folder``/marts, the reports to
+    ``folder``/reports. Files that could not be used don't stop the others: they
+    are listed in ``folder``/raw/rejected_files and counted in the steps, and at
+    the end, when all else is done, they fail the job unless ``fail_on_rejected``
+    is false. Other errors of any step, publishing included, are raised at once.
     """
 
-    def ingest(feed: Feed) -> DataFrame:
+    def ingest(feed: Feed) -> tuple[DataFrame, DataFrame]:
         source = f"{inputs}/{feed.name}"
         if files == "csv":
-            return combine_feed(spark, source, feed).rows
-        return ingest_workbooks(spark, source, feed, f"{folder}/raw/{feed.name}")
-
-    raw = {name: ingest(feed) for name, feed in FEEDS.items()}
-    visits, desks = raw[OCCUPANCY.name], raw[DESKCOUNT.name]
-    marts = build_marts(visits, desks, calendar, ROW_ORDER, f"{folder}/marts")
+            return combine_feed(spark, source, feed, multiline=multiline)
+        return ingest_workbooks(spark, source, feed, f"{folder}/raw/{feed.name}", fail=False)
+
+    place = f"{folder}/raw/rejected_files"
+    with temporary_stages(spark):
+        raw = {name: ingest(feed) for name, feed in FEEDS.items()}
+        bad = [left.select(F.lit(name).alias("feed"), "source_file", "error") for name, (_, left) in raw.items()]
+        bad[0].union(bad[1]).write.mode("overwrite").parquet(place)
+        rejected = spark.read.parquet(place)
+        visits, desks = raw[OCCUPANCY.name][0], raw[DESKCOUNT.name][0]
+        marts = build_marts(visits, desks, calendar, ROW_ORDER, f"{folder}/marts")
     sinks.write_reports(marts.reports, f"{folder}/reports")
+    steps = marts.steps.union(profile.step_counts({"files rejected": rejected.count()}, spark))
+    marts = Marts(marts.tables, {**marts.reports, "rejected_files": rejected}, steps)
     if table:
         sinks.publish(marts.tables["fact_occupancy_aggregated"], table, mode, fmt)
+    if fail_on_rejected:
+        raise_rejected(rejected, place)
     return marts

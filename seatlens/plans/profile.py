@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -68,16 +66,30 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*pairs)))
 
 
-def step_counts(steps: dict[str, DataFrame | int]) -> DataFrame:
-    """Rows per build step, from one-value frames or numbers already observed."""
-    spark = next(d for d in steps.values() if isinstance(d, DataFrame)).sparkSession
+def calendar_profile(dim_date: DataFrame) -> DataFrame:
+    """One row: extent of the calendar in days, years and keys."""
+    return dim_date.agg(
+        F.count("*").alias("days"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.min("date_key").alias("first_key"),
+        F.max("date_key").alias("last_key"),
+        F.count_distinct("year").alias("years"),
+        F.min("year").alias("first_year"),
+        F.max("year").alias("last_year"),
+    )
+
+
+def business_profile(lobs: DataFrame) -> DataFrame:
+    """One row: number of lines of business and their key range."""
+    return lobs.agg(
+        F.count("*").alias("businesses"), F.min("lob_key").alias("first_key"), F.max("lob_key").alias("last_key")
+    )
 
-    def line(step: str, rows: DataFrame | int) -> DataFrame:
-        if isinstance(rows, int):
-            return spark.range(1).select(F.lit(step).alias("step"), F.lit(rows).cast("bigint").alias("rows"))
-        return rows.select(F.lit(step).alias("step"), rows[0].cast("bigint").alias("rows"))
 
-    return reduce(DataFrame.unionAll, [line(step, rows) for step, rows in steps.items()])
+def step_counts(steps: dict[str, int], spark: SparkSession) -> DataFrame:
+    """Rows per build step, from numbers observed."""
+    return spark.createDataFrame(list(steps.items()), "step string, rows bigint")
 
 
 def sample(fact: DataFrame, n: int, *order: str) -> DataFrame:

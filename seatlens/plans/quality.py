@@ -143,6 +143,7 @@ def validation_summary(
         return F.concat(*line)
 
     c = F.col
+    # The report's texts.
     lines = [
         F.lit("== Summary =="),
         say("Fact rows: {}; Agg rows: {}", text.thousands(c("fact_rows")), text.thousands(c("agg_rows"))),

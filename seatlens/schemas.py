@@ -22,6 +22,10 @@ class Feed:
     required: tuple[str, ...]
     optional: tuple[str, ...] = ()
 
+    @property
+    def columns(self) -> list[str]:
+        return [*self.required, *self.optional]
+
 
 OCCUPANCY = Feed(
     "Occupancy",

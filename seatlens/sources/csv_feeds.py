@@ -6,18 +6,19 @@ import csv
 import io
 import re
 from collections.abc import Iterator
-from functools import reduce
 from typing import NamedTuple
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seatlens.functions.text import blank_null_tokens
-from seatlens.schemas import ROW_ORDER, Feed, quoted
+from seatlens.functions import text
+from seatlens.schemas import Feed, quoted
 from seatlens.session import broadcast_if_small, stage, task_slots
+from seatlens.sources.listing import hidden_files, literal
 from seatlens.sources.records import to_batches
 from seatlens.sources.workbooks import unique_names
 
@@ -27,6 +28,7 @@ _HEADERS_ARROW = pa.schema(
 )
 # Takes what a line has beyond its file's header; such a file is not usable.
 _SURPLUS = "_surplus"
+_TOO_LONG = "a line has more fields than the header"
 
 
 class Combined(NamedTuple):
@@ -41,19 +43,20 @@ def _plain(uri: Column) -> Column:
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def list_csv(spark: SparkSession, folder: str) -> DataFrame:
+def list_csv(spark: SparkSession, folder: str, names: str = "*.csv") -> DataFrame:
     """The CSV files directly in ``folder``; contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
     return listing.select(
         F.col("_metadata.file_path").alias("uri"), _plain(F.col("_metadata.file_path")).alias("path")
     )
 
 
-def preferred_files(files: DataFrame, feed: Feed) -> DataFrame:
-    """Only the files named ``YYYY-MM_<feed>.csv`` if there are any, else all."""
+def preferred_names(files: DataFrame, feed: Feed) -> str:
+    """The glob of files named ``YYYY-MM_<feed>.csv`` if there are any, else of all."""
     by_month = F.col("path").rlike(rf"/\d{{4}}-\d{{2}}_{re.escape(feed.name)}\.csv$")
-    any_by_month = files.agg(F.coalesce(F.max(by_month), F.lit(False)).alias("any")).scalar()
-    return files.where(by_month | ~any_by_month)
+    any_by_month = files.agg(F.coalesce(F.max(by_month), F.lit(False)).alias("any")).first()["any"]
+    digit = "[0-9]"
+    return f"{digit * 4}-{digit * 2}_{feed.name}.csv" if any_by_month else "*.csv"
 
 
 def _header(uri: str) -> tuple[str, list[str] | None, str | None]:
@@ -75,32 +78,35 @@ def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from to_batches(map(_header, batch["uri"].to_pylist()), _HEADERS_ARROW)
 
 
-def scan_csv(spark: SparkSession, paths: list[str], header: list[str], multiline: bool) -> DataFrame:
-    """Rows of files that share one header, as texts, with their place in the input.
+def _broken_lines(spark: SparkSession, folder: str, names: str) -> list[str]:
+    """The files with a line of an odd number of quotes, which is one that a quoted text goes on from.
 
-    A file's rows are in the order (block, row_pos): without ``multiline`` a
-    large file is read in blocks by several tasks. ``multiline`` allows line
-    breaks inside quotes at the price of one task per file.
+    One splittable pass over the lines; only such files' names come to the driver.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _SURPLUS]])
-    escaped = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    lines = spark.read.option("pathGlobFilter", names).text(folder)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = lines.where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("uri")).distinct()
+    return sorted(r.uri for r in odd.collect())
+
+
+def _scan(reader: DataFrameReader, paths: str | list[str], width: int, multiline: bool) -> DataFrame:
+    """Rows as arrays of texts by position, with their place in the input."""
+    fields = [f"_{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, _SURPLUS]])
     scan = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("multiLine", multiline)
-        .csv(escaped)
+        .csv(paths)
     )
-    place = {
-        "source_file": _plain(F.col("_metadata.file_path")),
-        "source_block": F.col("_metadata.file_block_start"),
-        "row_pos": F.monotonically_increasing_id(),
-    }
     return scan.select(
-        *[column.alias(name) for name, column in place.items()],
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("source_block"),
+        F.monotonically_increasing_id().alias("row_pos"),
+        F.array(*fields).alias("cells"),
         quoted(_SURPLUS),
-        *[blank_null_tokens(quoted(c)).alias(c) for c in header],
     )
 
 
@@ -109,49 +115,73 @@ def combine_feed(
     folder: str,
     feed: Feed,
     columns: list[str] | None = None,
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> Combined:
     """Union the feed's files by column name; what a file lacks is null.
 
-    Files are grouped by header and scanned once per distinct header, because
-    one scan over mixed headers would match columns by position. The union is
-    staged as Parquet: the text is parsed once, and leaving out files with
-    malformed lines costs a read of two columns. ``columns`` limits what is kept.
+    All files are scanned together, by position, whatever their headers; where a
+    file has a column comes from its header, by a join on the file. Header names
+    that differ in case or outer blanks are one column, the exact name first.
+    ``columns`` are kept, the feed's own unless others are named; a column that
+    no file has is left out. A file's rows are in the order (block, row_pos).
+
+    Files are read in blocks by several tasks, but for those with line breaks
+    inside quotes. ``multiline`` says whether all or none have such; without it
+    one pass over the lines finds out.
+
+    The union is staged as Parquet: the text is parsed once, and leaving out
+    files with malformed lines costs a read of two columns. ``rejected`` names
+    every file left out, also those whose names Spark's listing skips.
     """
-    files = preferred_files(list_csv(spark, folder), feed)
-    headers = stage(
-        files.select("uri").repartition(task_slots(spark), "uri").mapInArrow(_read_headers, _HEADERS),
-        f"{feed.name}-headers",
-    )
-    # File names, which a scan needs on the driver anyway; no file content.
-    groups = (
-        headers.where(F.col("error").isNull())
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list(_plain(F.col("uri")))).alias("paths"))
-        .orderBy(F.col("paths")[0])
-        .collect()
+    files = list_csv(spark, folder)
+    names = preferred_names(files, feed)
+    chosen = list_csv(spark, folder, names).select("uri").repartition(task_slots(spark), "uri")
+    headers = stage(chosen.mapInArrow(_read_headers, _HEADERS), f"{feed.name}-headers")
+    wanted = feed.columns if columns is None else columns
+    place = lambda c: F.filter(  # noqa: E731 - the positions of a column, the exact name's first
+        F.concat(
+            F.transform("header", lambda h, i: F.when(h == c, i)),
+            F.transform("header", lambda h, i: F.when((h != c) & (text.folded(h) == c.strip().lower()), i)),
+        ),
+        lambda i: i.isNotNull(),
     )
-    rejected = headers.where(F.col("error").isNotNull()).select(
-        _plain(F.col("uri")).alias("source_file"), "error"
+    usable = headers.where(F.col("error").isNull()).select(
+        "uri", F.size("header").alias("width"), *[place(c).alias(f"at_{n}") for n, c in enumerate(wanted)]
     )
-    if not groups:
+    facts = usable.agg(
+        F.max("width").alias("width"), *[F.max(F.size(f"at_{n}")).alias(f"at_{n}") for n in range(len(wanted))]
+    ).first()
+    rejected = headers.where(F.col("error").isNotNull()).select(_plain(F.col("uri")).alias("source_file"), "error")
+    rejected = rejected.unionByName(hidden_files(spark, [f"{literal(folder)}/[_.]*.csv"]))
+    if facts.width is None:
         raise FileNotFoundError(f"no usable CSV files for {feed.name} in {folder}")
-    scans = []
-    for group in groups:
-        scan = scan_csv(spark, group.paths, group.header, multiline)
-        if columns is not None:
-            kept = [c for c in group.header if c in columns]
-            scan = scan.select(*ROW_ORDER, _SURPLUS, *[quoted(c) for c in kept])
-        scans.append(scan)
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    rows = stage(union, f"{feed.name}-combined")
-    marked = rows.where(quoted(_SURPLUS).isNotNull()).select("source_file").distinct()
-    malformed = stage(marked, f"{feed.name}-malformed")
-    rejected = rejected.unionByName(
-        malformed.withColumn("error", F.lit("a line has more fields than the header"))
+
+    reader = lambda: spark.read.option("pathGlobFilter", names)
+    if multiline is None:
+        broken = _broken_lines(spark, folder, names)
+        scan = _scan(reader(), folder, facts.width, False)
+        if broken:
+            whole = _scan(reader(), [literal(unquote(p)) for p in broken], facts.width, True)
+            scan = scan.where(~F.col("uri").isin(broken)).unionByName(whole)
+    else:
+        scan = _scan(reader(), folder, facts.width, multiline)
+
+    rows = scan.join(broadcast_if_small(usable), "uri")
+    beyond = F.exists(F.slice("cells", F.col("width") + 1, facts.width), lambda v: v.isNotNull())
+    value = lambda n: text.first_known(F.transform(f"at_{n}", lambda i: F.get("cells", i)))
+    kept = [(n, c) for n, c in enumerate(wanted) if facts[f"at_{n}"]]
+    rows = rows.select(
+        _plain(F.col("uri")).alias("source_file"),
+        "source_block",
+        "row_pos",
+        (quoted(_SURPLUS).isNotNull() | beyond).alias(_SURPLUS),
+        *[value(n).alias(c) for n, c in kept],
     )
+    rows = stage(rows, f"{feed.name}-combined")
+    malformed = stage(rows.where(quoted(_SURPLUS)).select("source_file").distinct(), f"{feed.name}-malformed")
+    rejected = rejected.unionByName(malformed.withColumn("error", F.lit(_TOO_LONG)))
     files_malformed = malformed.count()
-    usable = rows.drop(_SURPLUS)
+    good = rows.drop(_SURPLUS)
     if files_malformed:
-        usable = usable.join(broadcast_if_small(malformed, files_malformed), "source_file", "left_anti")
-    return Combined(usable, rejected)
+        good = good.join(broadcast_if_small(malformed, files_malformed), "source_file", "left_anti")
+    return Combined(good, rejected)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: how a file name states its month.
 _NAMED = r"(20\d{2})[-_](0[1-9]|1[0-2])"
 
 # Month words as they occur in file names, January first. Every

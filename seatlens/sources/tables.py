@@ -79,6 +79,11 @@ def publish(
     return written.get["rows"]
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_reports(reports: dict[str, DataFrame], folder: str) -> list[str]:
     """Write the quality reports; issue lists only when they have rows."""
     written = []
@@ -91,6 +96,7 @@ def write_reports(reports: dict[str, DataFrame], folder: str) -> list[str]:
         elif name == "by_location_summary":
             write_csv(worst_first(report), target)
         elif report.isEmpty():
+            _remove(report.sparkSession, target)  # an earlier run's list would be taken for this one's
             continue
         else:
             write_csv(report, target, ["office_location", "date"])

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatlens.functions import parse, text
 from seatlens.schemas import Feed
 from seatlens.session import broadcast_if_small, stage
+from seatlens.sources.listing import REJECTED, hidden_files, literal, matching
 from seatlens.sources.periods import file_period
 from seatlens.sources.records import to_batches
 from seatlens.sources.xlsx import first_sheet
@@ -75,29 +75,31 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from to_batches(_records(path.as_py(), content.as_py()), _DECODED_ARROW)
 
 
-def _within_one_level(folder: str) -> str:
-    """A pattern for paths of files in a folder or directly below it."""
-    place = re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", folder).rstrip("/")
-    start = r"^([A-Za-z0-9+.-]+:(//[^/]*)?)?" if place.startswith("/") else "/"
-    return rf"{start}{re.escape(place)}/([^/]+/)?[^/]+$"
+def _patterns(folder: str, name: str) -> list[str]:
+    """Files of a kind in a folder and one level below it."""
+    return [f"{literal(folder)}/{name}", f"{literal(folder)}/*/{name}"]
 
 
 def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Decode the first sheet of every workbook in ``folder`` and one level below.
 
-    Files are spread over tasks by size and decoded where they are read. One
-    row per sheet row, the header being row 0; a file that cannot be decoded
-    gives a row with ``error``.
+    Files are spread over tasks by size and decoded where they are read; deeper
+    ones are not read at all. One row per sheet row, the header being row 0; a
+    file that cannot be decoded gives a row with ``error``.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.xlsx")
-        .load(folder)
-        .select("path", "content")
-    )
-    near = F.col("path").rlike(_within_one_level(folder))
-    return files.where(near).mapInArrow(_decode, _DECODED)
+    there = [p for p in _patterns(folder, "*.xlsx") if matching(spark, p)]
+    if not there:
+        return spark.createDataFrame([], _DECODED)
+    files = spark.read.format("binaryFile").load(there).select("path", "content")
+    return files.mapInArrow(_decode, _DECODED)
+
+
+def cell(name: str) -> Column:
+    """A landed row's cell by column name: the exact name first, then names that differ in case or blanks."""
+    fold = name.strip().lower()
+    entries = F.filter(F.map_entries("cells"), lambda e: text.folded(e["key"]) == fold)
+    alike = F.transform(entries, lambda e: e["value"])
+    return text.first_known(F.concat(F.array(F.try_element_at("cells", F.lit(name))), alike))
 
 
 def land_workbooks(spark: SparkSession, folder: str, feed: Feed) -> Landed:
@@ -108,8 +110,7 @@ def land_workbooks(spark: SparkSession, folder: str, feed: Feed) -> Landed:
     of files is broadcast to its rows, so these are not shuffled by file.
     """
     decoded = stage(read_workbooks(spark, folder), f"{feed.name}-workbooks")
-    named_date = F.map_filter("cells", lambda name, _: F.lower(name) == feed.date_column.lower())
-    newest = parse.date_or_null(F.try_element_at(F.map_values(named_date), F.lit(1)))
+    newest = parse.date_or_null(cell(feed.date_column))
     dated = (
         decoded.groupBy("source_file")
         .agg(
@@ -142,33 +143,48 @@ def land_workbooks(spark: SparkSession, folder: str, feed: Feed) -> Landed:
         )
     )
     rejected = files.where(F.col("error").isNotNull()).select("source_file", "error")
+    rejected = rejected.unionByName(hidden_files(spark, _patterns(folder, "[_.]*.xlsx")))
     if decoded.isEmpty():
-        rejected = spark.createDataFrame([(folder, "no .xlsx files found")], "source_file string, error string")
+        rejected = rejected.unionByName(spark.createDataFrame([(folder, "no .xlsx files found")], REJECTED))
     return Landed(rows, rejected)
 
 
-def feed_columns(rows: DataFrame) -> DataFrame:
-    """Unfold landed cells into one column per header name found in any file.
+def feed_columns(rows: DataFrame, feed: Feed) -> DataFrame:
+    """Unfold landed cells into the feed's columns.
 
-    Only the distinct names, as many as a sheet is wide, come to the driver.
+    Header names that differ in case or outer blanks are one column, whose cells
+    are coalesced. A column that no file has is left out, so that what needs it
+    can say so; only whether it was seen comes to the driver.
     """
-    headers = rows.where(F.col("row_pos") == 0).select(F.explode(F.map_keys("cells")).alias("name"))
-    first_seen = headers.groupBy("name").agg(F.count("*").alias("files")).orderBy("name")
-    names = [r.name for r in first_seen.collect()]
-    value = [text.blank_null_tokens(F.try_element_at("cells", F.lit(n))).alias(n) for n in names]
-    return rows.where(F.col("row_pos") > 0).select("source_file", "source_block", "row_pos", "year_month", *value)
+    names = F.transform(F.map_keys("cells"), text.folded)
+    seen = rows.where(F.col("row_pos") == 0).agg(
+        *[F.max(F.array_contains(names, c.lower())).alias(c) for c in feed.columns]
+    )
+    present = [c for c, there in seen.first().asDict().items() if there]
+    data = rows.where(F.col("row_pos") > 0)
+    return data.select("source_file", "source_block", "row_pos", "year_month", *[cell(c).alias(c) for c in present])
 
 
-def ingest_workbooks(spark: SparkSession, folder: str, feed: Feed, out: str) -> DataFrame:
+def ingest_workbooks(spark: SparkSession, folder: str, feed: Feed, out: str, fail: bool = True) -> Landed:
     """Land a feed as a table partitioned by month, replacing an earlier one.
 
-    Unusable files do not stop the others, but make the job fail at the end.
+    Unusable files do not stop the others. All of them are listed, with the
+    reason, in the table ``<out>_rejected``; if there are any the job fails at
+    the end, unless ``fail`` is false and the caller sees to them.
     """
     landed = land_workbooks(spark, folder, feed)
-    rows = feed_columns(landed.rows)
+    rows = feed_columns(landed.rows, feed)
     rows.hint("rebalance", "year_month").write.mode("overwrite").partitionBy("year_month").parquet(out)
-    # One short line per unusable file; the full list is in the frame.
-    bad = landed.rejected.limit(20).collect()
-    if bad:
-        raise BadFiles("; ".join(f"{r.source_file}: {r.error}" for r in bad))
-    return spark.read.schema(rows.schema).parquet(out)
+    bad = f"{out}_rejected"
+    landed.rejected.write.mode("overwrite").parquet(bad)
+    rejected = spark.read.schema(REJECTED).parquet(bad)
+    if fail:
+        raise_rejected(rejected, bad)
+    return Landed(spark.read.schema(rows.schema).parquet(out), rejected)
+
+
+def raise_rejected(rejected: DataFrame, place: str) -> None:
+    """Fail if there are rejected files, saying how many and where they are listed."""
+    many = rejected.count()
+    if many:
+        raise BadFiles(f"{many} input files could not be used; {place} lists them with the reasons")

@@ -11,7 +11,7 @@ from seatlens.operators.hybrid import hybrid_flags
 from seatlens.plans import clean, dims, facts, marts, quality
 from seatlens.plans.dims import Calendar
 from seatlens.session import stage
-from seatlens.testtables import ORDER, Build
+from fixtures.tables import ORDER, Build
 from tests.helpers import day, rows
 
 VISITS = (
@@ -85,11 +85,6 @@ def test_facts_equal_the_operators_one_by_one(orders, order_facts):
     assert rows(aggregated, *columns) == rows(step_by_step, *columns)
 
 
-def test_many_businesses_give_the_same_fact(events):
-    unpacked = facts.fact_occupancy(events.office_days(by_lob=False), events.daily, events.lobs, events.window)
-    assert rows(unpacked) == rows(events.fact)
-
-
 def test_fact_invariants(orders, order_facts):
     fact, aggregated = order_facts
     days = (orders.window.last - orders.window.first).days + 1
@@ -231,8 +226,8 @@ def build_small(spark, raw, snaps, calendar=Calendar()):
     locations = dims.dim_location(daily, snaps, ORDER)
     lobs = dims.dim_line_of_business(daily)
     window = facts.resolve_window(daily, snapshots, calendar)
-    days = facts.office_days(daily, snapshots, locations, window, ORDER, facts.packable(lobs))
-    return window, facts.fact_occupancy_aggregated(days), facts.fact_occupancy(days, daily, lobs, window)
+    days = facts.office_days(daily, snapshots, locations, window, ORDER, lobs)
+    return window, facts.fact_occupancy_aggregated(days), facts.fact_occupancy(days, lobs)
 
 
 def test_no_snapshots(spark):
@@ -275,6 +270,30 @@ def test_office_spelt_with_inner_dot_is_renamed_in_the_dimension_only(spark):
     assert rows(aggregated, "office_location", "attendance_count") == [("A", 1)]
 
 
+def test_steps_account_for_every_visit(spark, tmp_path):
+    raw = visits(
+        spark,
+        ("u", "A .", "x", "2024-01-01"), ("v", "A", "x", "2024-01-01"), ("v", "A", "x", "2024-01-01"),
+        ("w", None, "x", "2024-01-01"), ("x", "A", "x", "2023-01-01"), ("y", "A", "x", "2024-01-02"),
+    )
+    built = marts.build_marts(raw, desks(spark, ("A", "2", "1", "2024-01-01")), Calendar(), ["seq"], str(tmp_path))
+    steps = dict(rows(built.steps))
+    assert steps["visits loaded"] == 6 and steps["visits de-duplicated"] == 5
+    parts = ["visits in the fact", "visits outside the window", "visits without an office", "visits of unknown offices"]
+    assert [steps[p] for p in parts] == [2, 1, 1, 1]
+
+
+def test_a_month_of_the_fact_is_read_alone(spark, tmp_path):
+    entries = [(f"u{i}", "A", "x", f"2024-{m:02d}-15") for i, m in enumerate(range(1, 7))]
+    built = marts.build_marts(visits(spark, *entries), desks(spark, ("A", "2", "1", "2024-06-01")), Calendar(), ["seq"], str(tmp_path))
+    march = built.tables["fact_occupancy"].where("year = 2024 AND month = 3")
+    scanned = march.select(F.input_file_name().alias("f")).distinct().collect()
+    assert scanned and all("month=3" in r.f for r in scanned)
+    assert "PartitionFilters: [isnotnull(year" in march._jdf.queryExecution().executedPlan().toString()
+    keys = [r.date_key for r in spark.read.parquet(scanned[0].f).select("date_key").collect()]
+    assert keys == sorted(keys)
+
+
 def test_marts(spark, sf_dir, orders, order_facts, tmp_path):
     raw = orders.raw
     built = marts.build_marts(raw.visits, raw.desks, raw.calendar, ORDER, str(tmp_path / "marts"))

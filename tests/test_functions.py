@@ -82,10 +82,15 @@ def test_dates(spark):
         "1/5/2024": day("2024-01-05"),
         "12/31/2024 7:05": day("2024-12-31"),
         " 2024-01-05 ": day("2024-01-05"),
+        **dict.fromkeys(
+            ["1/5/2024 8:30 AM", "1/5/2024 8:30:00 am", "2024/01/05", "20240105", "5-Jan-2024", "Jan 5, 2024", "January 5, 2024"]
+            + ["01-05-2024", "01/05/24", "5 JANUARY 2024 08:30", "jan. 5, 2024 8:30 AM", "05-jan-24"],
+            day("2024-01-05"),
+        ),
         None: None,
     }
     assert values(spark, cases, parse.date_or_error) == list(cases.values())
-    assert values(spark, ["x", "2024-13-01", "13/1/2024"], parse.date_or_null) == [None] * 3
+    assert values(spark, ["x", "2024-13-01", "13/1/2024", "Janus 5, 2024", "31-Feb-2024"], parse.date_or_null) == [None] * 5
     with pytest.raises(PySparkException, match="not a date"):
         values(spark, ["2024-13-01"], parse.date_or_error)
 

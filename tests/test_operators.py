@@ -28,12 +28,11 @@ def test_keep_first_cuts_hot_keys_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below and "Partial" in below and "Final" in above
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 3])
-def test_dense_keys(spark, limit):
+def test_dense_keys(spark):
     names = [f"N{i:02d}" for i in range(40)] + ["a", "Z", "é", "ß"]
     random.Random(1).shuffle(names)
     df = spark.createDataFrame([(n,) for n in names * 2 + [None]], "name string")
-    keyed = dense_keys(df, "name", "k", one_task_values=limit)
+    keyed = dense_keys(df, "name", "k")
     expected = sorted(set(names), key=lambda n: n.encode())
     assert rows(keyed, "k", "name") == list(enumerate(expected, 1))
 
@@ -126,6 +125,25 @@ def test_top_three_prefer_busier_then_earlier_days(spark):
     ]
 
 
+def test_flags_keep_rows_without_a_known_day(spark):
+    monday = day("2025-07-07")
+    fact = spark.createDataFrame(
+        [("A", monday, 3), ("A", None, 9), ("A", monday + dt.timedelta(days=1), 5), (None, monday, 1)],
+        "office_location string, date date, attendance_count int",
+    )
+    known = dates(spark, monday, monday + dt.timedelta(days=6)).where("date <> DATE '2025-07-08'")
+    got = rows(hybrid_flags(fact, dates=known), "attendance_count", "is_hybrid_day")
+    assert got == [(1, True), (3, True), (5, False), (9, False)]
+
+
+def test_few_offices_fill_all_tasks(spark):
+    locations = spark.createDataFrame([(1, "A"), (2, "B")], "location_key int, office_location string")
+    window = Window(day("2049-12-31"), day("2000-01-01"), day("2049-12-31"), offices=2, businesses=20)
+    grid = office_grid(locations, window)
+    sizes = [r.n for r in grid.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == window.tasks(spark) > 2 and max(sizes) < 1.5 * min(sizes)
+
+
 def test_grid_is_dense_and_counts_fill_with_zero(spark):
     locations = spark.createDataFrame([(1, "A"), (2, "B")], "location_key int, office_location string")
     lobs = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "lob_key int, line_of_business string")

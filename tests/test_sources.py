@@ -10,7 +10,7 @@ from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
 from seatlens.sources import csv_feeds, tables, workbooks
 from seatlens.sources.xlsx import first_sheet
-from seatlens.testfiles import workbook
+from fixtures.files import workbook
 from tests.helpers import day, rows
 
 HEADER = ["OfficeLocation", "Deskcount", "Date"]
@@ -78,35 +78,61 @@ def test_workbook_landing(spark, tmp_path):
     put(root / "2024" / "deep" / "2030_01.xlsx", workbook([HEADER, ["E", "5", "2024-02-20"]]))
     put(root / "April.xlsx", workbook([["OfficeLocation"], ["F"]]))
     put(root / "2024_06.xlsx", b"not a workbook")
+    put(root / "_2024_07.xlsx", workbook([HEADER, ["G", "1", "2024-07-01"]]))
     landed = workbooks.land_workbooks(spark, str(root), DESKCOUNT)
-    got = workbooks.feed_columns(landed.rows)
-    assert got.columns == ["source_file", "source_block", "row_pos", "year_month", "Date", "Deskcount", "Extra", "OfficeLocation"]
-    assert rows(got, "year_month", "OfficeLocation", "Deskcount", "Extra", "row_pos") == [
-        ("2024-01", "A", "1", None, 1),
-        ("2024-02", "D", "4", None, 1),
-        ("2024-03", "C", None, "e", 1),
+    got = workbooks.feed_columns(landed.rows, DESKCOUNT)
+    assert got.columns == ["source_file", "source_block", "row_pos", "year_month", "OfficeLocation", "Deskcount", "Date"]
+    assert rows(got, "year_month", "OfficeLocation", "Deskcount", "row_pos") == [
+        ("2024-01", "A", "1", 1),
+        ("2024-02", "D", "4", 1),
+        ("2024-03", "C", None, 1),
     ]
     assert {(r.source_file.rsplit("/", 1)[1], r.error.split(":")[0]) for r in landed.rejected.collect()} == {
         ("April.xlsx", "no month in name, content or folder"),
         ("2024_06.xlsx", "BadZipFile"),
+        ("_2024_07.xlsx", "name begins with _ or . and is not listed"),
     }
     out = str(tmp_path / "landed")
-    with pytest.raises(workbooks.BadFiles, match="2024_06"):
+    with pytest.raises(workbooks.BadFiles, match="^3 input files .*landed_rejected"):
         workbooks.ingest_workbooks(spark, str(root), DESKCOUNT, out)
-    assert spark.read.parquet(out).count() == 3
+    assert spark.read.parquet(out).count() == 3 and spark.read.parquet(f"{out}_rejected").count() == 3
+
+
+def test_every_unusable_workbook_is_listed(spark, tmp_path):
+    for i in range(25):
+        put(tmp_path / "in" / f"2024_01 {i}.xlsx", b"no workbook")
+    landed = workbooks.ingest_workbooks(spark, str(tmp_path / "in"), DESKCOUNT, str(tmp_path / "out"), fail=False)
+    assert landed.rejected.count() == 25 and landed.rows.isEmpty()
+
+
+def test_header_case_and_blanks_make_no_new_column(spark, tmp_path):
+    put(tmp_path / "in" / "2024_01.xlsx", workbook([HEADER, ["A", "1", "2024-01-01"]]))
+    put(tmp_path / "in" / "2024_02.xlsx", workbook([["officelocation ", "DeskCount", "DESKCOUNT", " date"], ["B", "NA", "2", "2/1/2024"]]))
+    landed = workbooks.ingest_workbooks(spark, str(tmp_path / "in"), DESKCOUNT, str(tmp_path / "out")).rows
+    assert rows(landed, "OfficeLocation", "Deskcount", "Date") == [("A", "1", "2024-01-01"), ("B", "2", "2/1/2024")]
+
+
+def test_an_earlier_landing_is_replaced(spark, tmp_path):
+    out = str(tmp_path / "out")
+    put(tmp_path / "a" / "2024_01.xlsx", workbook([HEADER, ["A", "1", "2024-01-01"]]))
+    put(tmp_path / "b" / "2024_02.xlsx", workbook([HEADER, ["B", "1", "2024-02-01"]]))
+    for folder in ("a", "b"):
+        landed = workbooks.ingest_workbooks(spark, str(tmp_path / folder), DESKCOUNT, out).rows
+    assert rows(landed, "year_month", "OfficeLocation") == [("2024-02", "B")]
 
 
 def test_empty_workbook_folder_is_an_error(spark, tmp_path):
     (tmp_path / "Occupancy").mkdir()
-    with pytest.raises(workbooks.BadFiles, match="no .xlsx files"):
+    with pytest.raises(workbooks.BadFiles, match="^1 input files"):
         workbooks.ingest_workbooks(spark, str(tmp_path / "Occupancy"), OCCUPANCY, str(tmp_path / "out"))
+    assert [r.error for r in spark.read.parquet(str(tmp_path / "out_rejected")).collect()] == ["no .xlsx files found"]
 
 
 def test_header_only_workbook_replaces_its_month(spark, tmp_path):
     put(tmp_path / "in" / "2024_01_a.xlsx", workbook([HEADER, ["A", "1", "2024-01-01"]]))
     put(tmp_path / "in" / "2024_01_b.xlsx", workbook([HEADER]))
     landed = workbooks.land_workbooks(spark, str(tmp_path / "in"), DESKCOUNT)
-    assert workbooks.feed_columns(landed.rows).count() == 0 and landed.rejected.isEmpty()
+    assert workbooks.feed_columns(landed.rows, DESKCOUNT).count() == 0 and landed.rejected.isEmpty()
 
 
 def test_landed_visits_clean_in_month_order(spark, tmp_path):
@@ -115,7 +141,7 @@ def test_landed_visits_clean_in_month_order(spark, tmp_path):
     row = ["u", "Oslo", "Sales", "C", "2024-01-31", "Wednesday", "J"]
     put(tmp_path / "in" / "z_2024-01.xlsx", workbook([header, row]))
     put(tmp_path / "in" / "a_2024-02.xlsx", workbook([header, [*row[:2], "Other", *row[3:]], ["v", *row[1:]]]))
-    landed = workbooks.ingest_workbooks(spark, str(tmp_path / "in"), OCCUPANCY, str(tmp_path / "out"))
+    landed = workbooks.ingest_workbooks(spark, str(tmp_path / "in"), OCCUPANCY, str(tmp_path / "out")).rows
     cleaned = clean.clean_occupancy(landed)
     assert rows(cleaned, "office_location", "line_of_business") == [("Oslo", "Sales")] * 2
 
@@ -154,6 +180,22 @@ def test_whole_run_from_csv(spark, tmp_path):
     check_whole_run(spark, built, "csv_db.occupancy")
 
 
+def test_whole_run_names_what_it_could_not_use(spark, tmp_path):
+    put(tmp_path / "in/Deskcount/desks.csv", "Date,officelocation ,Deskcount\n2024-01-01,Oslo,4\n")
+    header = ",".join(OCCUPANCY.required)
+    put(tmp_path / "in/Occupancy/a.csv", f"{header}\n{','.join(VISIT)}\n")
+    put(tmp_path / "in/Occupancy/b.csv", f"{header}\n{','.join(VISIT)},more\n")
+    put(tmp_path / "in/Occupancy/_c.csv", f"{header}\n{','.join(VISIT)}\n")
+    out = tmp_path / "out"
+    with pytest.raises(workbooks.BadFiles, match="^2 input files .*rejected_files"):
+        marts.run_all(spark, str(tmp_path / "in"), str(out), files="csv")
+    built = marts.run_all(spark, str(tmp_path / "in"), str(out), files="csv", fail_on_rejected=False)
+    left = [(r.feed, r.source_file.rsplit("/", 1)[1]) for r in built.reports["rejected_files"].collect()]
+    assert sorted(left) == [("Occupancy", "_c.csv"), ("Occupancy", "b.csv")]
+    steps = dict(rows(built.steps))
+    assert steps["files rejected"] == 2 and steps["visits loaded"] == steps["visits in the fact"] == 1
+
+
 def test_csv_union_by_name(spark, tmp_path):
     put(tmp_path / "January Desk.csv", 'OfficeLocation,Address,Deskcount\nA,"1 Road, ""x""\nTown",10\n\nB,,NA\n')
     put(tmp_path / "b+%20.csv", "Deskcount,OfficeLocation,Extra.col\n20,C,x\n30\n")
@@ -162,7 +204,10 @@ def test_csv_union_by_name(spark, tmp_path):
     put(tmp_path / "latin.csv", b"Offic\xe9\nx\n")
     put(tmp_path / "ragged.csv", "OfficeLocation,Deskcount\nE,1\nF,2,3\n")
     put(tmp_path / "sub" / "nested.csv", "OfficeLocation\nG\n")
-    combined = csv_feeds.combine_feed(spark, str(tmp_path), DESKCOUNT)
+    put(tmp_path / ".hidden.csv", "OfficeLocation\nH\n")
+    kept = [*DESKCOUNT.columns, "Extra.col"]
+    combined = csv_feeds.combine_feed(spark, str(tmp_path), DESKCOUNT, columns=kept)
+    assert combined.rows.columns == ["source_file", "source_block", "row_pos", "OfficeLocation", "Deskcount", "Address", "Extra.col"]
     got = combined.rows.orderBy("source_file", "source_block", "row_pos").collect()
     assert [(r.OfficeLocation, r.Address, r.Deskcount, r["Extra.col"]) for r in got] == [
         ("A", '1 Road, "x"\nTown', "10", None),
@@ -176,6 +221,7 @@ def test_csv_union_by_name(spark, tmp_path):
         "empty.csv": "ValueError",
         "latin.csv": "UnicodeDecodeError",
         "ragged.csv": "a line has more fields than the header",
+        ".hidden.csv": "name begins with _ or . and is not listed",
     }
     assert [r.source_file.rsplit("/", 1)[1] for r in got][2] == "b+%20.csv"
 
@@ -192,11 +238,18 @@ def test_no_csv_is_an_error(spark, tmp_path):
         csv_feeds.combine_feed(spark, str(tmp_path), DESKCOUNT)
 
 
+def test_ten_headers_are_one_scan(spark, tmp_path):
+    for i in range(10):
+        put(tmp_path / f"f{i}.csv", ",".join([f"x{j}" for j in range(i)] + ["Deskcount"]) + "\n" + ",".join(["y"] * i + [str(i)]) + "\n")
+    combined = csv_feeds.combine_feed(spark, str(tmp_path), DESKCOUNT).rows
+    assert sorted(int(r.Deskcount) for r in combined.collect()) == list(range(10))
+
+
 def test_large_csv_is_read_in_blocks_in_file_order(spark, tmp_path):
     put(tmp_path / "big.csv", "OfficeLocation,n\n" + "".join(f"office {i % 7},{i}\n" for i in range(20_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
     try:
-        combined = csv_feeds.combine_feed(spark, str(tmp_path), DESKCOUNT, columns=["n"], multiline=False).rows
+        combined = csv_feeds.combine_feed(spark, str(tmp_path), DESKCOUNT, columns=["n"]).rows
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert combined.select("source_block").distinct().count() > 3
