@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatlens.llm import words as W
 from seatlens.llm.bpe import gather
 from seatlens.session import stage
 
@@ -34,8 +35,8 @@ from seatlens.session import stage
 LENGTH, OPEN, SLACK = 2048, 64, 8
 #: Tasks whose leftovers one task of the next round takes.
 FAN_IN = 32
-#: Distinct words remembered in a task; beyond that they are forgotten and looked up again.
-REMEMBERED, LONGEST = 300_000, 64
+#: Distinct words remembered in a worker; beyond that they are forgotten and looked up again.
+REMEMBERED = 2_000_000
 
 
 class Piece(NamedTuple):
@@ -88,54 +89,118 @@ class Windows:
             yield self.close_fullest()
 
 
-@functools.lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[b for b in range(128) if chr(b).isalnum()]] = True
+# ASCII punctuation but for the apostrophe, which starts contractions, and what special tokens are made of.
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "'<|>"]] = True
+
+
+class _Known:
+    """A growing table from 64-bit hashes to consecutive numbers, as two sorted arrays."""
+
+    FRESH = 100_000
+
+    def __init__(self) -> None:
+        nothing = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int32)
+        self.parts, self.size = [nothing, nothing], 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The hashes' numbers, -1 where they are new."""
+        out = np.full(len(hashes), -1, dtype=np.int32)
+        for keys, numbers in self.parts:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                out = np.where(keys[at] == hashes, numbers[at], out)
+        return out
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """Number new hashes; they are sorted."""
+        numbers = np.arange(self.size, self.size + len(hashes), dtype=np.int32)
+        self.size += len(hashes)
+        self.parts[1] = self._merged(self.parts[1], (hashes, numbers))
+        if len(self.parts[1][0]) > self.FRESH:
+            self.parts = [self._merged(*self.parts), (hashes[:0], numbers[:0])]
+        return numbers
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+        keys, numbers = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], numbers[order]
+
 
-    return Tokenizer.from_file(path)
+class _Growing:
+    """An array that is added to at its end."""
+
+    def __init__(self, dtype: type) -> None:
+        self.values, self.size = np.empty(1024, dtype=dtype), 0
+
+    def extend(self, more: np.ndarray) -> None:
+        while self.size + len(more) > len(self.values):
+            self.values = np.concatenate([self.values, np.empty_like(self.values)])
+        self.values[self.size : self.size + len(more)] = more
+        self.size += len(more)
 
 
 class Words:
-    """Ids of white-space separated words, each looked up once.
+    """Ids of words, each looked up once; the words are known by 64-bit hashes.
 
-    The tokenizer drops ASCII white space and never joins what it separates, so a
-    text's ids are those of its words, one after another.
+    The tokenizer drops ASCII white space, lower-cases, and splits ASCII letters
+    and digits from ASCII punctuation. It never joins what it splits, so a text's
+    ids are those of its parts, one after another. Parts with a less-than sign
+    keep their case, because special tokens begin with one.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = _tokenizer(path)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids = np.empty(0, dtype=np.uint32)
-        self.start = np.empty(0, dtype=np.int64)
-        self.size = np.empty(0, dtype=np.int64)
-
-    def _look_up(self, words: list[bytes]) -> list[list[int]]:
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [e.ids for e in encoded]
-
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        split = [t.split() for t in texts]
-        if len(self.number) > REMEMBERED:
-            self.forget()
-        new = list({w for words in split for w in words if w not in self.number})
-        if new:
-            ids = self._look_up(new)
-            size = np.array([len(i) for i in ids], dtype=np.int64)
-            start = len(self.ids) + np.concatenate([[0], np.cumsum(size)[:-1]])
-            for w in new:
-                self.number[w] = len(self.number)
-            self.ids = np.concatenate([self.ids, *[np.array(i, dtype=np.uint32) for i in ids]])
-            self.start, self.size = np.append(self.start, start), np.append(self.size, size)
-        number = self.number.__getitem__
-        for words in split:
-            at = np.fromiter(map(number, words), dtype=np.int64, count=len(words))
-            yield gather(self.ids, self.start[at], self.size[at])
-        if any(len(w) > LONGEST for w in new):  # don't keep what is long and unlikely to come again
+        self.known, self.ids, self.start, self.count = _Known(), _Growing(np.uint32), _Growing(np.int64), _Growing(np.int32)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> np.ndarray:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        count = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids))
+        self.start.extend(self.ids.size + np.cumsum(count, dtype=np.int64) - count)
+        self.count.extend(count)
+        self.ids.extend(np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32, count=int(count.sum())))
+        return self.known.add(hashes)
+
+    def encode(self, texts: W.Texts) -> Iterator[np.ndarray]:
+        if self.known.size > REMEMBERED or self.ids.size > 8 * REMEMBERED:
             self.forget()
+        data = texts.data
+        alnum, mark = _ALNUM[data], _MARK[data]
+        cuts = np.flatnonzero(alnum[1:] & mark[:-1] | alnum[:-1] & mark[1:]) + 1
+        parts = W.words(texts, cuts)
+        plain = W.LOWER[data]
+        for at in np.unique(np.searchsorted(parts.start, np.flatnonzero(data == ord("<")), side="right") - 1):
+            own = slice(parts.start[at], parts.end[at])
+            plain[own] = data[own]
+        hashes = W.hashes(plain, parts.start, parts.end)
+        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        number = self.known.find(unique)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            raw = plain.tobytes()
+            spans = zip(parts.start[first[new]].tolist(), parts.end[first[new]].tolist(), strict=True)
+            number[new] = self._learn(unique[new], [raw[a:b].decode() for a, b in spans])
+        number = number[inverse]
+        start, count = self.start.values[number], self.count.values[number]
+        for i in range(len(texts)):
+            own = slice(parts.first[i], parts.first[i + 1])
+            yield gather(self.ids.values, start[own], count[own])
+
+
+@functools.lru_cache(maxsize=1)
+def _words(path: str) -> Words:
+    """One table of words per worker, kept from task to task."""
+    return Words(path)
 
 
 def _checksum(ids: np.ndarray) -> int:
@@ -165,29 +230,15 @@ class _Out:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=self.names)
 
 
-def _texts(column: pa.Array, row: int) -> tuple[list[bytes], int]:
-    out, taken = [], 0
-    while row < len(column) and taken < 1 << 20:
-        value = column[row]
-        out.append(value.as_buffer().to_pybytes() if value.is_valid else b"")
-        taken += len(out[-1])
-        row += 1
-    return out, row
-
-
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int) -> Iterator[pa.RecordBatch]:
-    words, windows, out = Words(path), Windows(length, OPEN), None
+    words, windows, out = _words(path), Windows(length, OPEN), None
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index("text"))
         ids = batch.column(batch.schema.get_field_index("id"))
         out = out or _Out(ids.type, TaskContext.get().partitionId())
-        row = 0
-        while row < batch.num_rows:
-            begin = row
-            texts, row = _texts(column, row)
+        for texts in W.slices(batch):
             for i, tokens in enumerate(words.encode(texts)):
                 tokens = np.append(tokens, np.uint32(end_id))
-                _place(ids[begin + i].as_py(), tokens, windows, out, length)
+                _place(ids[texts.first + i].as_py(), tokens, windows, out, length)
         yield out.batch()
     if out:
         for pieces in windows.rest():

@@ -31,8 +31,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _STEP = 0xD1342543DE82EF97 | 3
 _STEP_INVERSE = pow(_STEP, -1, 1 << 64)
@@ -103,8 +103,10 @@ def _runs(inside: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside & after[:n]), np.flatnonzero(inside & np.append(after[1:n] | ~inside[1:], True)) + 1
 
 
-def words(texts: Texts) -> Words:
-    start, end = _runs(_IS_WORD[texts.data], texts.offsets) if len(texts.data) else (np.empty(0, np.int64),) * 2
+def words(texts: Texts, cuts: np.ndarray | None = None) -> Words:
+    """The words of texts, or the parts of words that further ``cuts`` make of them."""
+    cut = texts.offsets if cuts is None else np.concatenate([texts.offsets, cuts])
+    start, end = _runs(_IS_WORD[texts.data], cut) if len(texts.data) else (np.empty(0, np.int64),) * 2
     return Words(start, end, np.searchsorted(start, texts.offsets))
 
 
@@ -121,7 +123,7 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = F
     up, down = _Powers.of(len(data))
     with np.errstate(over="ignore"):
         total = np.zeros(len(data) + 1, dtype=_U)
-        np.cumsum(_BYTE_VALUE[_LOWER[data] if lower else data] * up, out=total[1:])
+        np.cumsum(_BYTE_VALUE[LOWER[data] if lower else data] * up, out=total[1:])
         return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
 
 

@@ -6,12 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seatlens.llm import bpe, packing
+from seatlens.llm import words as W
 from tests.llm import helpers as H
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,8 +47,6 @@ def test_encoding_equals_tiktoken_and_decodes(spark, sf_dir, reference):
 
 
 def test_forgetting_and_order_change_nothing(monkeypatch):
-    import pyarrow as pa
-
     texts = _fuzz(2, 200)
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
 
@@ -94,9 +94,22 @@ def test_bpe_on_odd_rows(spark, clashes):
 def test_words_equal_the_whole_text():
     tokenizer = Tokenizer.from_file(WORDS)
     texts = [*_fuzz(4, 500), "<|endoftext|>", "x<|endoftext|>y z <|startoftext|>", "é ́e a ́", "Σας ΟΔΟΣ ΟΔΟΣ. ΑΣ"]
+    texts += ["<|ENDOFTEXT|> A<|endoftext|>B,<|endoftext|>.", "It's it'S x-'s a.'s '.s IT'RE,don't", "a.b,c 5%x 10,000.5 (A)"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    own, got = packing.Words(WORDS), []
+    for _ in range(2):  # the second time all words are known
+        got += [ids.tolist() for part in W.slices(batch) for ids in own.encode(part)]
+    assert got == 2 * [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_forgotten_words_are_looked_up_again(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(_fuzz(5, 100))], names=["text"])
+    whole = [ids.tolist() for part in W.slices(batch) for ids in packing.Words(WORDS).encode(part)]
+    monkeypatch.setattr(W, "SLICE_BYTES", 300)
+    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    monkeypatch.setattr(packing._Known, "FRESH", 3)
     own = packing.Words(WORDS)
-    for text, ids in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
-        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [ids.tolist() for part in W.slices(batch) for ids in own.encode(part)] == whole
 
 
 def _check(pieces, texts: list[tuple]) -> float:
