@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 import oracle_queries  # noqa: E402
 from fixtures.files import write_csv_texts, write_workbooks  # noqa: E402
@@ -355,11 +356,21 @@ _EVENTS_ONLY: dict[str, Callable[[Build], DataFrame]] = {
 }
 
 
+def _with_workers(query: Query) -> Query:
+    """The query, with Python workers that find this folder's modules as the driver does."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", HERE)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator or job; each takes (spark, sf_dir)."""
     entries = {n: _on("events", q) for n, q in {**_BOTH_VARIANTS, **_EVENTS_ONLY}.items()}
     entries |= {f"{n}_orders": _on("orders", q) for n, q in _BOTH_VARIANTS.items()}
-    return entries | {
+    entries |= {
         "dim_date": dim_date,
         "calendar_profile": lambda spark, sf_dir: profile.calendar_profile(dim_date(spark, sf_dir)),
         "parse_dates": parse_dates,
@@ -373,6 +384,7 @@ def queries() -> dict[str, Query]:
         **(llm_queries.queries() if llm_queries else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
+    return {name: _with_workers(query) for name, query in entries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
