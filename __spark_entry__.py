@@ -273,7 +273,8 @@ def workbook_header_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     spellings = [_DESK_COLUMNS, ["officelocation", "DESKCOUNT ", "rsf", " date", "Include In Occupancy Calculation "]]
     for part, names in enumerate(spellings):
         file = F.concat(F.date_format("Date", "yyyy-MM"), F.lit(".xlsx"))
-        own = desks.where(F.month("Date") % 2 == part).select("seq", file.alias("file"), *[F.col(c).alias(n) for c, n in zip(_DESK_COLUMNS, names, strict=True)])
+        renamed = [F.col(c).alias(n) for c, n in zip(_DESK_COLUMNS, names, strict=True)]
+        own = desks.where(F.month("Date") % 2 == part).select("seq", file.alias("file"), *renamed)
         write_workbooks(own, folder, "file", names, "seq")
     landed = workbooks.ingest_workbooks(spark, folder, DESKCOUNT, new_folder(spark, "landed")).rows
     return clean.clean_deskcount(landed)
