@@ -56,7 +56,10 @@ def test_sign_codes(spark):
     assert got == {1: 9, 2: -1, 3: None, 4: 0, 5: 2}
 
 
-_RECORD = "record_id long, url string, captured timestamp, record_type string, headers map<string,string>, payload_digest string, status int, target string"
+_RECORD = (
+    "record_id long, url string, captured timestamp, record_type string, headers map<string,string>,"
+    " payload_digest string, status int, target string"
+)
 
 
 def _at(hours: float) -> dt.datetime:

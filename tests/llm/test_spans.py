@@ -118,7 +118,8 @@ def test_redact(spark):
     assert got[7] == "Here is a text. contact: [EMAIL] and so on, number 7."
     assert got[200] == "See below, contact: [EMAIL] and more"
     assert got[300].startswith("In 1999 the year 2000")
-    twice = spark.createDataFrame([(1, "😀 +4111111111111111 x"), (1, "😀 +4111111111111111 x"), (2, None), (None, "a@b.cc")], "doc_id long, text string")
+    card = (1, "😀 +4111111111111111 x")
+    twice = spark.createDataFrame([card, card, (2, None), (None, "a@b.cc")], "doc_id long, text string")
     assert sorted((r.text or "") for r in pii.redact(twice).collect()) == ["", "[EMAIL]", "😀 +[CARD] x", "😀 +[CARD] x"]
     assert len(pii.redact(H.odd_docs(spark, True)).collect()) == len(H.ODD)
     assert pii.redact(H.no_docs(spark)).collect() == []
