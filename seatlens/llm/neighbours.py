@@ -13,7 +13,7 @@ or reaches the driver has a fixed size, whatever the input.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from typing import NamedTuple
 
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatlens.llm import words as W
+from seatlens.session import stage
 
 #: Labelled rows in the sample, half of them of either label where there are enough.
 SAMPLE = 4096
@@ -36,6 +37,8 @@ CHANCE = 2
 PRIOR_VOTE = 0.5
 #: A score of this or more predicts label 1.
 CUT = 0.7
+#: Parts the sample's counts are summed in, and rounds of the decomposition.
+CHUNKS, ROUNDS = 16, 4
 #: Texts whose counts and similarities are held at once.
 BLOCK = 128
 
@@ -92,11 +95,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def _sample_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        label = batch.column(batch.schema.get_field_index("label"))
+        kept = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "label")]
         for texts in W.slices(batch):
             for lo, counts in _bags(texts):
                 bags = pa.array([c.tobytes() for c in counts], pa.binary())
-                yield pa.RecordBatch.from_arrays([label.slice(texts.first + lo, len(counts)), bags], names=["label", "bag"])
+                own = [c.slice(texts.first + lo, len(counts)) for c in kept]
+                yield pa.RecordBatch.from_arrays([*own, bags], names=["id", "label", "bag"])
 
 
 def training_rows(labels: DataFrame, id_col: str, label_col: str, learn: Column) -> tuple[DataFrame, float]:
@@ -114,26 +118,57 @@ def training_rows(labels: DataFrame, id_col: str, label_col: str, learn: Column)
     return halves[0].union(halves[1]), 0.5 if share is None else float(share)
 
 
+def _by_chunk(bags: DataFrame, work: Callable[[np.ndarray], np.ndarray]) -> list[np.ndarray]:
+    """What ``work`` makes of the counts of each chunk, in chunk order.
+
+    A chunk's rows are put in order first, so the results don't depend on how
+    Spark has dealt them.
+    """
+
+    def run(chunk: pd.DataFrame) -> pd.DataFrame:
+        counts = np.frombuffer(b"".join(chunk.sort_values("id")["bag"]), np.float32)
+        made = work(counts.reshape(-1, DIMENSIONS + TERMS))
+        return pd.DataFrame({"chunk": chunk["chunk"].iloc[:1], "made": [made.astype(np.float32).tobytes()]})
+
+    made = bags.groupBy("chunk").applyInPandas(run, "chunk int, made binary").collect()
+    return [np.frombuffer(r.made, np.float32) for r in sorted(made, key=lambda r: r.chunk)]
+
+
 def fit(docs: DataFrame, sample: DataFrame, prior: float, id_col: str, text_col: str) -> Model:
-    """The model of a sample of labelled rows."""
+    """The model of a sample of labelled rows.
+
+    The sample's counts stay in Spark: inverse document frequencies and each step
+    of the subspace iteration are sums over chunks, so the driver holds a few
+    arrays of DIMENSIONS by RANK numbers.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    rows = rows.dropDuplicates(["id"]).select("label", "text")
-    found: pd.DataFrame = rows.mapInArrow(_sample_bags, "label int, bag binary").toPandas()
-    found = found.sort_values(["label", "bag"])  # the same model whatever order rows arrive in
-    bags = np.frombuffer(b"".join(found["bag"]), np.float32).reshape(-1, DIMENSIONS + TERMS)
-    labels = found["label"].to_numpy().astype(np.float32)
-    idf = np.log((1 + len(bags)) / (1 + (bags > 0).sum(axis=0))).astype(np.float32) + 1
-    matrix = _weighted(bags) * idf
-    rank = min(RANK, len(bags))
-    rng = np.random.default_rng(5)
-    basis = rng.standard_normal((DIMENSIONS + TERMS, rank + 16)).astype(np.float32)
-    for _ in range(4):  # subspace iteration towards the leading right singular vectors
-        basis, _ = np.linalg.qr(matrix.T @ (matrix @ basis))
-    _, _, right = np.linalg.svd(matrix @ basis, full_matrices=False)
-    projection = (basis @ right[:rank].T).astype(np.float32)
-    share = float(labels.mean()) if len(labels) else prior
-    weight = np.where(labels > 0, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9)).astype(np.float32)
-    return Model(projection * idf[:, None], _unit(matrix @ projection), labels, weight, prior)
+    id_type = rows.schema["id"].dataType.simpleString()
+    bags = rows.dropDuplicates(["id"]).mapInArrow(_sample_bags, f"id {id_type}, label int, bag binary")
+    bags = stage(bags.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(CHUNKS)).cast("int")), "bags")
+    labels = [r.label for r in bags.select("chunk", "id", "label").orderBy("chunk", "id").collect()]
+    if not labels:
+        nothing = np.empty((0, 0), np.float32)
+        return Model(nothing, nothing, np.empty(0), np.empty(0), prior)
+
+    width, rank = DIMENSIONS + TERMS, min(RANK, len(labels))
+    held = np.sum(_by_chunk(bags, lambda counts: (counts > 0).sum(axis=0)), axis=0, dtype=np.float64)
+    idf = (np.log((1 + len(labels)) / (1 + held)) + 1).astype(np.float32)
+    basis = np.random.default_rng(5).standard_normal((width, rank + 16)).astype(np.float32)
+    for _ in range(ROUNDS):  # subspace iteration towards the leading right singular vectors
+
+        def turned(counts: np.ndarray, basis: np.ndarray = basis) -> np.ndarray:
+            matrix = _weighted(counts) * idf
+            return matrix.T @ (matrix @ basis)
+
+        total = np.sum(_by_chunk(bags, turned), axis=0, dtype=np.float64).reshape(width, -1)
+        basis = np.linalg.qr(total)[0].astype(np.float32)
+    placed = np.concatenate(_by_chunk(bags, lambda counts: (_weighted(counts) * idf) @ basis)).reshape(len(labels), -1)
+    _, _, right = np.linalg.svd(placed.astype(np.float64), full_matrices=False)
+    turn = right[:rank].T.astype(np.float32)
+    marks = np.array(labels, dtype=np.float32)
+    share = float(marks.mean())
+    weight = np.where(marks > 0, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9)).astype(np.float32)
+    return Model((basis @ turn) * idf[:, None], _unit(placed @ turn), marks, weight, prior)
 
 
 def _vote(counts: np.ndarray, model: Model) -> np.ndarray:
