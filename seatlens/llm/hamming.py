@@ -4,13 +4,17 @@ A code of BITS bits is cut into m segments; the index has one row per segment an
 distinct code. If two codes are at most m * (r + 1) - 1 bits apart, they are at
 most r bits apart in one segment at least (pigeonhole). A query looks its segments
 up, then everything one bit away from them, then two, and so on: the probes of a
-radius grow out of the previous radius's by flipping one bit more. Every candidate
-is verified by its full distance. A query is done as soon as its kth distance is
-covered by the radius searched so far, which proves that nothing closer is missed.
-
-Segments have about log2(n) bits for n distinct codes, so a lookup meets about one
-code. Equal codes are one index row that keeps its k smallest ids; more of them
-can't be in a top k.
+radius grow out of the previous radius's by flipping one bit more. Segments may
+have different radii: what is at most sum(r + 1) - 1 bits away is found. Every
+candidate is verified by its full distance. A query is done as soon as its kth
+distance is covered, which proves that nothing closer is missed; in its last round
+only as many segments grow as that takes.
+
+Segments have somewhat less than log2(n) bits for n distinct codes, so a lookup
+meets a few codes: a probe is a row that is shuffled, while a code that it meets
+costs a bit count inside the join, which passes on only what is no farther than
+the query's kth so far. Equal codes are one index row that keeps its k smallest
+ids; more of them can't be in a top k.
 """
 
 from __future__ import annotations
@@ -65,7 +69,8 @@ def nearest_codes(base: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     Both have ``id`` and ``code`` (a long of BITS bits). Ranks go by Hamming
     distance, then id; a query that is itself in ``base`` finds itself. Rows with
     a null id or code are ignored, on either side; queries that repeat count once,
-    ids that repeat once per different code. With fewer than k rows all are returned.
+    ids that repeat once per different code; a query of several codes is searched
+    for by all of them. With fewer than k rows all are returned.
     """
     rows = base.where("id IS NOT NULL AND code IS NOT NULL").select("id", "code").distinct()
     order = Window.partitionBy("code").orderBy("id")
@@ -75,40 +80,53 @@ def nearest_codes(base: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     want = queries.where("id IS NOT NULL AND code IS NOT NULL").select(F.col("id").alias("query_id"), "code").distinct()
     want = stage(want, "queries")
 
-    segments = max(1, round(BITS / max(1, math.ceil(math.log2(distinct + 1)))))
+    segments = math.ceil(BITS / max(1, math.floor(math.log2(distinct + 1))))
     cuts = _cuts(segments)
     index = codes.select(F.explode(_segments(F.col("code"), cuts)).alias("s"), F.col("code").alias("near"), "ids")
     index = index.select("s.segment", "s.value", "near", "ids")
 
     need = min(k, held)
     probes = want.select("query_id", "code", F.explode(_segments(F.col("code"), cuts)).alias("s"))
-    probes = probes.select("query_id", "code", "s.*").withColumn("next", F.lit(0))
+    probes = probes.select("query_id", "code", "s.*", F.lit(BITS).alias("bound"), F.lit(0).alias("next"))
     probes = stage(probes, "probes")
+    # ``covered``: the distance up to which the probes of this round leave nothing unseen.
+    pending = want.select("query_id").distinct().withColumn("covered", F.lit(segments - 1))
     best, results = None, []
-    for radius in range(max(bits for _, bits in cuts) + 1):
-        met = probes.select("query_id", "code", "segment", "value").join(index, ["segment", "value"])
-        met = met.select("query_id", "code", "near", "ids").distinct()
+    for _ in range(max(bits for _, bits in cuts) + 1):
         apart = F.bit_count(F.col("code").bitwiseXOR(F.col("near"))).cast("int")
+        same = (probes["segment"] == index["segment"]) & (probes["value"] == index["value"])
+        met = probes.join(index, same & (apart <= F.col("bound")))
+        met = met.select("query_id", "code", "near", "ids").distinct()
         found = met.select("query_id", F.explode("ids").alias("id"), apart.alias("distance"))
         if best is not None:
             found = found.union(best.select("query_id", "id", "distance")).distinct()
         best = stage(_best(found, k), "best")
 
-        covered = segments * (radius + 1) - 1
-        full = best.groupBy("query_id").agg(F.count("*").alias("n"), F.max("distance").alias("kth"))
-        done = full.where((F.col("n") >= need) & (F.col("kth") <= covered)).select("query_id")
-        results.append(best.join(done, "query_id"))
-        best = best.join(done, "query_id", "left_anti")
-        probes = probes.join(done, "query_id", "left_anti")
+        kth = best.groupBy("query_id").agg(F.count("*").alias("n"), F.max("distance").alias("kth"))
+        known = F.coalesce(F.col("n") >= need, F.lit(False))
+        state = pending.join(kth, "query_id", "left").withColumn("done", known & (F.col("kth") <= F.col("covered")))
+        # Each segment that grows by one bit covers one bit of distance more.
+        missing = F.when(known, F.least(F.col("kth") - F.col("covered"), F.lit(segments))).otherwise(segments)
+        state = stage(state.withColumn("grow", missing), "state")
+        results.append(best.join(state.where("done").select("query_id"), "query_id"))
+        covered = (F.col("covered") + F.col("grow")).alias("covered")
+        bound = F.when(known, F.col("kth")).otherwise(BITS).alias("bound")
+        left = state.where("NOT done").select("query_id", "grow", bound, covered)
+        if left.isEmpty():
+            break
+        pending = left.select("query_id", "covered")
+        best = best.join(pending.select("query_id"), "query_id", "left_semi")
+        grown = left.select("query_id", "grow", "bound")
+        probes = probes.drop("bound").join(grown, "query_id").where("segment < grow AND next < bits")
         flip = F.explode(F.sequence("next", F.col("bits") - 1)).alias("bit")
-        probes = probes.where("next < bits").select("query_id", "code", "segment", "bits", "value", flip)
+        probes = probes.select("query_id", "code", "segment", "bits", "value", "bound", flip)
         flipped = F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit")))
-        probes = probes.select(
-            "query_id", "code", "segment", "bits", flipped.alias("value"), (F.col("bit") + 1).alias("next")
+        probes = stage(
+            probes.select(
+                "query_id", "code", "segment", "bits", flipped.alias("value"), "bound", (F.col("bit") + 1).alias("next")
+            ),
+            "probes",
         )
-        probes = stage(probes, "probes")
-        if probes.isEmpty():
-            break
     out = results[0]
     for part in results[1:]:
         out = out.union(part)
