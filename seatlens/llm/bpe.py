@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text whose unseen pieces are merged together.
-REPLAY_BYTES = 16 << 20
+REPLAY_BYTES = 8 << 20
 #: Pieces remembered between replays; beyond that they are forgotten and merged again.
 REMEMBERED = 400_000
 
