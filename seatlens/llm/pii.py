@@ -31,14 +31,19 @@ EMAIL = rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-WORD = r"(?<!\S)\S*?[0-9@]\S*+(?:\x20[0-9().+-]++(?!\S))*+"
+# Numbers after a word are joined to it, but not to a label that ends in a mark ("phone2: 555-0199").
+WORD = r"(?<!\S)\S*?[0-9@]\S*+(?:(?<![:=#])\x20[0-9().+-]++(?!\S))*+"
+# What may be the label of the numbers joined to it: "tel2", or "2 -".
+LABEL = r"^(?:[0-9]{1,2}\x20-|(?=\S*?\p{L})\S++(?:\x20-)?)\x20(?=[^0-9]*[0-9])"
+#: Characters around a word that its lexical patterns are taken from.
+CONTEXT = 60
 
 PATTERNS = [
     S.Pattern("email", EMAIL, "@"),
     S.Pattern("ip", IP, r"[0-9]\.[0-9]"),
     S.Pattern("card", CARD, r"[0-9][\x20-]?[0-9]"),
     S.Pattern("phone", PHONE, r"\+[0-9]"),
-    S.Pattern("word", WORD, "[0-9@]", context=60),
+    S.Pattern("word", WORD, "[0-9@]", context=CONTEXT),
 ]
 
 #: Rounds of scoring; a pattern needs this many distinct known instances and this share of them.
@@ -85,8 +90,14 @@ _EDGE = r"^[^A-Za-z0-9+@(]+|[^A-Za-z0-9]+$"
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
-    """Identifier-like words, trimmed, each with its lexical patterns and its seed kind."""
-    words = found.where("kind = 'word'").withColumn("lead", F.char_length(F.regexp_extract("hit", r"^[^A-Za-z0-9+@(]*", 0)))
+    """Identifier-like words, trimmed, with their lexical patterns; numbers behind a label also without it."""
+    words = found.where("kind = 'word'")
+    label = F.regexp_extract("hit", LABEL, 0)
+    words = words.withColumn("label", F.explode(F.array_distinct(F.array(F.lit(""), label))))
+    words = words.withColumn("hit", F.expr("substring(hit, char_length(label) + 1)"))
+    words = words.withColumn("left", F.right(F.concat("left", "label"), F.lit(CONTEXT)))
+    words = words.withColumn("start", F.col("start") + F.char_length("label"))
+    words = words.withColumn("lead", F.char_length(F.regexp_extract("hit", r"^[^A-Za-z0-9+@(]*", 0)))
     words = words.withColumn("instance", F.regexp_replace("hit", _EDGE, "")).where("instance != ''")
     start = F.col("start") + F.col("lead")
     words = words.withColumn("start", start).withColumn("end", F.col("start") + F.char_length("instance"))
@@ -145,13 +156,16 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans overlap no base span. Other columns are ignored, whatever their names.
     """
     scanned = S.scan(S.keyed(docs, id_col, text_col), PATTERNS)
-    found = S.positions(scanned)
+    found = S.positions(scanned, CONTEXT)
     base = found.where(valid(F.col("kind"), F.col("hit"))).select(*S.ROW, "kind", "start", "end", "hit")
     base = stage(base.withColumn("base", F.lit(True)).withColumn("score", F.lit(1.0)), "base")
     words = stage(_occurrences(found), "words")
     learnt = bootstrap(stage(_graph(words), "graph"))
     new = words.join(learnt, "instance").select(*S.ROW, "kind", "start", "end", F.col("instance").alias("hit"), "score")
-    new = S.outside(new, base).withColumn("base", F.lit(False))
+    new = S.outside(new, base)
+    whole = Window.partitionBy(*S.ROW, "kind", "end").orderBy("start")  # numbers with their label, if that was found
+    new = new.withColumn("r", F.row_number().over(whole)).where("r = 1").drop("r")
+    new = new.withColumn("base", F.lit(False))
     return scanned.select(*S.ROW), base.unionByName(new)
 
 

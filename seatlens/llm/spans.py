@@ -20,7 +20,7 @@ class Pattern(NamedTuple):
     kind: str
     regex: str  # Java syntax, no empty match
     guard: str  # cheap pattern that any text with a match contains
-    context: int = 0  # characters kept on both sides
+    context: int = 0  # characters kept on both sides, up to the next match; positions() goes on from there
 
 
 #: What identifies a text row: its id and its text. Rows equal in both have equal spans.
@@ -67,14 +67,27 @@ def scan(texts: DataFrame, patterns: list[Pattern]) -> DataFrame:
     return stage(texts.select(*kept, F.concat(*arrays).alias("found")), "found")
 
 
-def positions(scanned: DataFrame) -> DataFrame:
-    """One row per match of each distinct row: id, text_hash, kind, start, end, hit, left, right."""
+def positions(scanned: DataFrame, context: int = 0) -> DataFrame:
+    """One row per match of each distinct row: id, text_hash, kind, start, end, hit, left, right.
+
+    With ``context``, the patterns' own, ``left`` and ``right`` reach across the two matches
+    before and behind: they are that many characters, or fewer that hold both those matches.
+    """
     rows = scanned.where(F.size("found") > 0).dropDuplicates(list(ROW))
     each = rows.select(*ROW, F.explode("found").alias("f")).select(*ROW, "f.*")
-    before = Window.partitionBy(*ROW, "kind").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    row = Window.partitionBy(*ROW, "kind").orderBy("n")
     size = F.char_length("hit")
-    end = F.sum(F.col("gap") + size).over(before)
-    return each.select(*ROW, "kind", (end - size).alias("start"), end.alias("end"), "hit", "left", "right")
+    end = F.sum(F.col("gap") + size).over(row.rowsBetween(Window.unboundedPreceding, 0))
+    left, right = F.col("left"), F.col("right")
+    if context:
+        each = each.withColumn("head", F.left("hit", F.lit(context))).withColumn("tail", F.right("hit", F.lit(context)))
+        lag, lead = (lambda c, n, f=f: f(c, n).over(row) for f in (F.lag, F.lead))
+        left = F.concat_ws("", lag("tail", 2), lag("left", 1), lag("tail", 1), "left")
+        right = F.concat_ws("", "right", lead("head", 1), lead("right", 1), lead("head", 2))
+        left, right = F.right(left, F.lit(context)), F.left(right, F.lit(context))
+    return each.select(
+        *ROW, "kind", (end - size).alias("start"), end.alias("end"), "hit", left.alias("left"), right.alias("right")
+    )
 
 
 def outside(spans: DataFrame, taken: DataFrame) -> DataFrame:

@@ -110,6 +110,59 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(got[i].count(":") == 2 for i in [*range(40), *range(100, 140)])
 
 
+_NEAR = [
+    "Email 2: root@localhost or mail a@b.co, root@localhost now",
+    "phone2: 555-0199 and tel 2 - 555-0199, tel2 555 0199 or 02 - 123 4567",
+    "1,2 3,4 x5 6 7y 8= 9 #10# 11 12z",
+    "é😀7 ß " + "a1 b2 " * 40 + "z" * 70 + "3 " + "9x" * 50 + " q4 r5",
+]
+
+
+def _plain_contexts(text: str) -> set:
+    """(start, end, its lexical patterns) of identifier-like words, from the 60 characters on both sides."""
+    out = set()
+    for m in re.finditer(r"(?<!\S)\S*?[0-9@]\S*+(?:(?<![:=#])\x20[0-9().+-]++(?!\S))*+", text, re.ASCII):
+        label = re.match(r"(?:[0-9]{1,2} -|(?=\S*?[^\W\d_])\S++(?: -)?) (?=[^0-9]*[0-9])", m[0])
+        for start in {m.start(), m.start() + (label.end() if label else 0)}:
+            left, right = text[max(0, start - 60) : start], text[m.end() : m.end() + 60]
+            word = re.sub(r"[^A-Za-z0-9]+$", "", text[start : m.end()])
+            lead = len(re.match(r"[^A-Za-z0-9+@(]*", word)[0])
+            one, two, after = (
+                re.sub("[0-9]", "0", found[1].lower()) if found else ""
+                for found in (re.search(p, s) for p, s in ((r"(\S+)\s*$", left), (r"(\S+\s+\S+)\s*$", left), (r"^\s*(\S+)", right)))
+            )
+            own = [f"two before: {two}"] * bool(two) + [f"around: {one} _ {after}"] * bool(one and after)
+            own += [f"mark: {one}"] * bool(re.search("[:=#]$", one))
+            out |= {(start + lead, start + len(word), tuple(own))} if word[lead:] else set()
+    return out
+
+
+def test_contexts_reach_across_other_identifiers(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(200).select("text")
+    texts = [*_NEAR, *[r.text for r in docs.collect() if r.text]]
+    found = pii.S.positions(pii.S.scan(pii.S.keyed(_docs(spark, texts), "doc_id", "text"), pii.PATTERNS), pii.CONTEXT)
+    got: dict[int, set] = {i: set() for i in range(len(texts))}
+    for r in pii._occurrences(found).collect():
+        got[r.id].add((r.start, r.end, tuple(r.contexts)))
+    assert got == {i: _plain_contexts(t) for i, t in enumerate(texts)}
+
+
+def _docs(spark, texts: list[str]):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_numbered_labels_and_adjacent_identifiers(spark):
+    texts = [f"Write so. Email 2: user{i}@mail{i}.example.org thanks {i}" for i in range(40)]
+    texts += [f"Some words mail a{i}@b.co, user{i}@mail{i}.example.org thanks" for i in range(40)]
+    texts += [f"Please see phone2: +1 555 010 {1000 + i} again" for i in range(40)]
+    texts += [f"And then tel 2 - +1 555 020 {1000 + i} again" for i in range(40)]
+    unseen = ["Also Email 2: root@localhost", "mail a@b.co, root@localhost thanks", "is phone2: 555-0199", "tel 2 - 555-0199"]
+    got = {r.doc_id: r.spans for r in pii.pii_digests(_docs(spark, texts + unseen)).collect()}
+    assert [got[len(texts) + i] for i in range(4)] == [
+        "email:14:28", "email:5:11,email:13:27", "phone:11:19", "phone:8:16"
+    ]
+
+
 def test_redact(spark):
     docs = _contexts(spark).select("doc_id", "text", F.lit("x").alias("cuts"))
     clean = pii.redact(docs)
