@@ -148,8 +148,10 @@ class Words:
 
     The tokenizer drops ASCII white space, lower-cases, and splits ASCII letters
     and digits from ASCII punctuation. It never joins what it splits, so a text's
-    ids are those of its parts, one after another. Parts with a less-than sign
-    keep their case, because special tokens begin with one.
+    ids are those of its parts, one after another. Only ASCII parts are lower-cased
+    here: the tokenizer composes first, and a lower-case letter may compose with a
+    mark where the capital doesn't. Parts with a less-than sign keep their case,
+    because special tokens begin with one.
     """
 
     def __init__(self, path: str) -> None:
@@ -179,9 +181,13 @@ class Words:
         cuts = np.flatnonzero(alnum[1:] & mark[:-1] | alnum[:-1] & mark[1:]) + 1
         parts = W.words(texts, cuts)
         plain = W.LOWER[data]
-        for at in np.unique(np.searchsorted(parts.start, np.flatnonzero(data == ord("<")), side="right") - 1):
-            own = slice(parts.start[at], parts.end[at])
-            plain[own] = data[own]
+        kept = np.flatnonzero((data >= 0x80) | (data == ord("<")))
+        if len(kept):
+            kept = np.unique(np.searchsorted(parts.start, kept, side="right") - 1)
+            inside = np.zeros(len(data) + 1, dtype=np.int8)
+            inside[parts.start[kept]] += 1
+            inside[parts.end[kept]] -= 1
+            plain = np.where(np.cumsum(inside[:-1], dtype=np.int8) > 0, data, plain)
         hashes = W.hashes(plain, parts.start, parts.end)
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         number = self.known.find(unique)

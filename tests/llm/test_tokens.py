@@ -102,6 +102,17 @@ def test_words_equal_the_whole_text():
     assert got == 2 * [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_capitals_with_combining_marks():
+    """A lower-case letter may compose with a mark where its capital doesn't."""
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = ["H\u0331 J\u030c T\u0308 W\u030a Y\u030a", "J\u030cala", "aJ\u030cB.c=J\u030c<J\u030c x\u030cJ"]
+    texts += [" ".join(f"{c}{m}ala {c}{m} x{c}{m},{c}" for c in map(chr, range(33, 127))) for m in marks]
+    tokenizer, own = Tokenizer.from_file(WORDS), packing.Words(WORDS)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    got = [ids.tolist() for part in W.slices(batch) for ids in own.encode(part)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_forgotten_words_are_looked_up_again(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(_fuzz(5, 100))], names=["text"])
     whole = [ids.tolist() for part in W.slices(batch) for ids in packing.Words(WORDS).encode(part)]
