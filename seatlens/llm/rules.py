@@ -3,8 +3,8 @@
 Each text gets a handful of counts, from which rule statistics between 0 and 1
 follow that don't depend on its length. An isolation forest splits the space of
 those statistics at random; texts that few random splits set apart are anomalous.
-The trees are grown in tasks of their own, on bounded random samples of the rows
-labelled good. Their splits are uniform in a node's part of the unit cube rather
+The trees are grown in tasks of their own, on bounded random samples of the distinct
+texts labelled good. Their splits are uniform in a node's part of the unit cube rather
 than between its rows' extremes: a statistic that is the same in all good rows,
 such as no symbols at all, would otherwise never be split on. The path length
 above which a text is kept is calibrated on all labelled rows: the threshold that
@@ -19,13 +19,13 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatlens.llm import words as W
 from seatlens.session import stage
 
-#: Trees, rows a tree is grown on (the forest sees TREES * TREE_ROWS rows at most), and its depth.
+#: Trees, rows a tree is grown on (the forest sees TREES * TREE_ROWS texts at most), and its depth.
 TREES, TREE_ROWS, DEPTH = 100, 256, 10
 #: The share of rows labelled good that the calibrated threshold may reject.
 MOST_LOST = 0.005
@@ -184,22 +184,32 @@ def _marks(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     return marks.where(F.col("id").isNotNull() & F.col("label").isin(0, 1)).groupBy("id").agg(F.min("label").alias("label"))
 
 
+def _drawn(rows: DataFrame) -> DataFrame:
+    """(row, features, tree): the texts that each tree is grown on.
+
+    The TREES * TREE_ROWS distinct texts with the smallest hashes are the sample. Each
+    tree takes its TREE_ROWS from it by hashes of its own, so trees may share texts.
+    """
+    sample = stage(rows.select("row", "features").dropDuplicates(["row"]).orderBy("row").limit(TREES * TREE_ROWS), "sample")
+    dealt = sample.select("row", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    own = Window.partitionBy("tree").orderBy(F.xxhash64("row", "tree"), "row")
+    dealt = dealt.withColumn("r", F.row_number().over(own)).where(F.col("r") <= TREE_ROWS).drop("r")
+    return dealt.join(sample, "row")
+
+
 Forest = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def grow_forest(stats: DataFrame, marks: DataFrame) -> Forest:
-    """TREES trees, each grown on about TREE_ROWS of the rows labelled good.
+    """TREES trees, each grown on TREE_ROWS of the texts labelled good, or on all if there are fewer.
 
-    At most TREES * TREE_ROWS rows are drawn, the ones with the smallest hashes,
-    and at most TREES * 2^(DEPTH + 1) nodes reach the driver, whatever the input.
+    At most TREES * 2^(DEPTH + 1) nodes reach the driver, whatever the input.
     Texts that the base rules fail take no part. Without a row labelled good, all
     rows are drawn from.
     """
     passed = stats.where(~base_failed()).select("id", F.xxhash64("row", F.lit(7)).alias("row"), "features")
     for rows in (passed.join(marks.where("label = 1"), "id", "left_semi"), passed):
-        drawn = rows.orderBy("row").limit(TREES * TREE_ROWS)
-        drawn = drawn.withColumn("tree", F.pmod(F.xxhash64("row"), F.lit(TREES)).cast("int"))
-        nodes = drawn.groupBy("tree").applyInPandas(_grow, "node int, feature int, cut double, path double, tree int")
+        nodes = _drawn(rows).groupBy("tree").applyInPandas(_grow, "node int, feature int, cut double, path double, tree int")
         grown = nodes.toPandas()
         if len(grown):
             break

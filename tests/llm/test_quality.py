@@ -176,3 +176,16 @@ def test_slices_and_hashes_do_not_depend_on_the_cut(monkeypatch):
     assert hashes() == whole
     assert [len(h) for h in whole] == [len(H.words(t)) for t in texts[1:]]
     assert whole[1][0] == whole[4][1]  # the same word in two texts
+
+
+def test_copies_leave_no_tree_without_rows(spark, monkeypatch):
+    """A text labelled good in most rows is one text of the forest's sample; every tree gets its rows."""
+    monkeypatch.setattr(rules, "TREES", 10)
+    monkeypatch.setattr(rules, "TREE_ROWS", 8)
+    texts = [H.PROSE] * 500 + [f"{H.PROSE} {'x' * i} {i}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stats = rules.statistics(docs)
+    drawn = rules._drawn(stats).select("tree", "row").collect()
+    assert len(drawn) == len(set(drawn)) == 80 and {r.tree for r in drawn} == set(range(10))
+    good = spark.createDataFrame([(i, 1) for i in range(503)], "id long, label int")
+    assert len(rules.grow_forest(stats, good)) == 10  # four distinct texts are too few for ten trees of their own
