@@ -20,7 +20,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatlens.llm import words as W
@@ -137,13 +137,16 @@ def _by_chunk(bags: DataFrame, work: Callable[[np.ndarray], np.ndarray]) -> list
 def fit(docs: DataFrame, sample: DataFrame, prior: float, id_col: str, text_col: str) -> Model:
     """The model of a sample of labelled rows.
 
+    Of several texts with one labelled id, the one with the smallest hash is learnt from.
     The sample's counts stay in Spark: inverse document frequencies and each step
     of the subspace iteration are sums over chunks, so the driver holds a few
     arrays of DIMENSIONS by RANK numbers.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     id_type = rows.schema["id"].dataType.simpleString()
-    bags = rows.dropDuplicates(["id"]).mapInArrow(_sample_bags, f"id {id_type}, label int, bag binary")
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text"), "text"))  # of an id's texts
+    once = rows.withColumn("first", first).where("first = 1").drop("first")
+    bags = once.mapInArrow(_sample_bags, f"id {id_type}, label int, bag binary")
     bags = stage(bags.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(CHUNKS)).cast("int")), "bags")
     labels = [r.label for r in bags.select("chunk", "id", "label").orderBy("chunk", "id").collect()]
     if not labels:
@@ -198,7 +201,9 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 
 def _keep(batches: Iterator[pa.RecordBatch], text_col: str, model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield batch.filter(pa.array(_scores(batch, text_col, model) >= CUT))
+        for texts in W.slices(batch, text_col):
+            good = np.concatenate([np.clip(_vote(counts, model), 0, 1) for _, counts in _bags(texts)]) >= CUT
+            yield batch.slice(texts.first, len(texts)).filter(pa.array(good))
 
 
 def train(

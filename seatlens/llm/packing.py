@@ -35,8 +35,8 @@ from seatlens.session import stage
 LENGTH, OPEN, SLACK = 2048, 64, 8
 #: Tasks whose leftovers one task of the next round takes.
 FAN_IN = 32
-#: Distinct words remembered in a worker; beyond that they are forgotten and looked up again.
-REMEMBERED = 2_000_000
+#: Bytes of distinct words and their ids that a task remembers; beyond that they are forgotten and looked up again.
+REMEMBERED = 24 << 20
 
 
 class Piece(NamedTuple):
@@ -143,9 +143,19 @@ class _Growing:
         self.size += len(more)
 
 
+@functools.lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Words:
     """Ids of words, each looked up once; the words are known by 64-bit hashes.
 
+    A worker keeps the tokenizer; the table of words is a task's own and ends with it.
+
     The tokenizer drops ASCII white space, lower-cases, and splits ASCII letters
     and digits from ASCII punctuation. It never joins what it splits, so a text's
     ids are those of its parts, one after another. Only ASCII parts are lower-cased
@@ -155,15 +165,16 @@ class Words:
     """
 
     def __init__(self, path: str) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.forget()
 
     def forget(self) -> None:
         self.known, self.ids, self.start, self.count = _Known(), _Growing(np.uint32), _Growing(np.int64), _Growing(np.int32)
 
+    def held(self) -> int:
+        """Bytes that the table takes."""
+        return 24 * self.known.size + 4 * self.ids.size
+
     def _learn(self, hashes: np.ndarray, words: list[str]) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         ids = [e.ids for e in encoded]
@@ -174,7 +185,7 @@ class Words:
         return self.known.add(hashes)
 
     def encode(self, texts: W.Texts) -> Iterator[np.ndarray]:
-        if self.known.size > REMEMBERED or self.ids.size > 8 * REMEMBERED:
+        if self.held() > REMEMBERED:
             self.forget()
         data = texts.data
         alnum, mark = _ALNUM[data], _MARK[data]
@@ -203,12 +214,6 @@ class Words:
             yield gather(self.ids.values, start[own], count[own])
 
 
-@functools.lru_cache(maxsize=1)
-def _words(path: str) -> Words:
-    """One table of words per worker, kept from task to task."""
-    return Words(path)
-
-
 def _checksum(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -237,7 +242,7 @@ class _Out:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int) -> Iterator[pa.RecordBatch]:
-    words, windows, out = _words(path), Windows(length, OPEN), None
+    words, windows, out = Words(path), Windows(length, OPEN), None
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("id"))
         out = out or _Out(ids.type, TaskContext.get().partitionId())

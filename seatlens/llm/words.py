@@ -33,32 +33,11 @@ _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-_STEP = 0xD1342543DE82EF97 | 3
-_STEP_INVERSE = pow(_STEP, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        steps = np.full(n, base, dtype=_U)
-        if n:
-            steps[0] = 1
-        return np.cumprod(steps, dtype=_U)
-
-
-class _Powers:
-    """Powers of the hash's step and of its inverse, kept and grown on demand."""
-
-    up = np.empty(0, dtype=_U)
-    down = np.empty(0, dtype=_U)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > 2 * SLICE_BYTES:  # a single huge text: not kept
-            return _powers(_STEP, n), _powers(_STEP_INVERSE, n)
-        if n > len(cls.up):
-            cls.up, cls.down = _powers(_STEP, n), _powers(_STEP_INVERSE, n)
-        return cls.up[:n], cls.down[:n]
+_BLOCK_KEY = 0xD1342543DE82EF97
+#: Bytes of a span that are summed up before their sum is mixed.
+BLOCK = 256
+# One value for every byte at every place of a block.
+_PLACED = mix(mix(np.arange(1, BLOCK * 256 + 1, dtype=_U)) ^ _U(0x9E3779B97F4A7C15))
 
 
 class Texts(NamedTuple):
@@ -117,14 +96,33 @@ def lines(texts: Texts) -> Words:
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, A-Z lower-cased if asked for."""
+    """A 64-bit hash of each span's bytes, A-Z lower-cased if asked for.
+
+    Spans are in order and don't overlap. A block's hash is the sum of one random
+    value per place and byte (tabulation); blocks are mixed with their number, so
+    that no rule in a text, however long, cancels out.
+    """
     if not len(start):
         return np.empty(0, dtype=_U)
-    up, down = _Powers.of(len(data))
+    place = np.zeros(len(data), dtype=np.int64)
+    place[start] = start
+    place = np.arange(len(data), dtype=np.int64) - np.maximum.accumulate(place)
+    place = (place & (BLOCK - 1)) << 8
+    place |= LOWER[data] if lower else data
+    total = np.zeros(len(data) + 1, dtype=_U)
+    size = (end - start).astype(_U)
     with np.errstate(over="ignore"):
-        total = np.zeros(len(data) + 1, dtype=_U)
-        np.cumsum(_BYTE_VALUE[LOWER[data] if lower else data] * up, out=total[1:])
-        return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+        np.cumsum(_PLACED[place], out=total[1:])
+        long = np.flatnonzero(size > BLOCK)
+        sums = total[end] - total[start]
+        if len(long):
+            many = -(-(end[long] - start[long]) // BLOCK)
+            first = np.cumsum(many) - many
+            block = np.arange(many.sum()) - np.repeat(first, many)
+            begin = np.repeat(start[long], many) + block * BLOCK
+            own = mix(total[np.minimum(begin + BLOCK, np.repeat(end[long], many))] - total[begin])
+            sums[long] = mix(np.add.reduceat(mix(own ^ mix(block.astype(_U) ^ _U(_BLOCK_KEY))), first))
+        return mix(sums ^ mix(size))
 
 
 _SHINGLE = mix(np.arange(11, 75, dtype=_U))

@@ -90,3 +90,15 @@ def test_chain_and_star_components(spark):
     got = {r.node: r.label for r in graph.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
     assert graph.components(edges.limit(0)).collect() == []
+
+
+def test_regular_texts_are_not_linked(spark):
+    """Words, and texts of words, that sums over powers don't tell apart."""
+    x = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    y = x.translate(str.maketrans("ab", "ba"))
+    rows = [(1, x), (2, y), (3, " ".join(x)), (4, " ".join(y)), (5, x)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(docs).collect()}
+    sets = [H.shingle_set(t, 3) for _, t in rows]
+    assert got == {rows[i][0]: rows[r][0] for i, r in enumerate(H.component_labels(sets, 90))}
+    assert got[1] == got[5] != got[2]

@@ -4,7 +4,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from seatlens.llm import language, neighbours, queries, rules
 from seatlens.llm import words as W
@@ -189,3 +191,18 @@ def test_copies_leave_no_tree_without_rows(spark, monkeypatch):
     assert len(drawn) == len(set(drawn)) == 80 and {r.tree for r in drawn} == set(range(10))
     good = spark.createDataFrame([(i, 1) for i in range(503)], "id long, label int")
     assert len(rules.grow_forest(stats, good)) == 10  # four distinct texts are too few for ten trees of their own
+
+
+def test_regular_lines_are_not_equal():
+    x = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    y = x.translate(str.maketrans("ab", "ba"))
+    (texts,) = W.slices(pa.RecordBatch.from_arrays([pa.array([f"{x}\n{y}", f"{x}\n{y}\n{x}"])], names=["text"]))
+    assert rules._counts(texts)["n_dup_lines"].tolist() == [0, 1]
+
+
+def test_of_an_ids_texts_the_smallest_hash_is_learnt_from(spark):
+    rows = [(1, H.PROSE), (1, H.PROSE[::-1]), (2, "#$%^ " * 30), (3, H.PROSE), (4, "##")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = H.labels(spark, [(1, 1, 0), (2, 0, 0)])
+    score = lambda d: [round(r.score, 4) for r in neighbours.classify(d, marks).orderBy("doc_id", "score").collect()]
+    assert score(docs) == score(docs.orderBy(F.desc("text")))

@@ -113,11 +113,30 @@ def test_capitals_with_combining_marks():
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def _regular(size: int, a: str, b: str) -> str:
+    """The Thue-Morse word, which sums over powers don't tell from its complement."""
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(size))
+
+
+@pytest.mark.parametrize("size", [256, 257, 1024, 4096, 65536])
+def test_regular_words_have_hashes_of_their_own(size):
+    x, y = _regular(size, "a", "b"), _regular(size, "b", "a")
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{x} {y}\n{x}", y, "", x * 2, y + x])], names=["text"])
+    (texts,) = W.slices(batch)
+    found = W.words(texts)
+    hashed = W.hashes(texts.data, found.start, found.end).tolist()
+    assert hashed[0] == hashed[2] and hashed[1] == hashed[3] and len(set(hashed)) == 4
+    assert W.hashes(texts.data[1:], found.start[:1], found.end[:1] - 1)[0] not in hashed
+    tokenizer, own = Tokenizer.from_file(WORDS), packing.Words(WORDS)
+    got = [ids.tolist() for part in W.slices(batch) for ids in own.encode(part)]
+    assert got == [tokenizer.encode(t.as_py(), add_special_tokens=False).ids for t in batch.column(0)]
+
+
 def test_forgotten_words_are_looked_up_again(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(_fuzz(5, 100))], names=["text"])
     whole = [ids.tolist() for part in W.slices(batch) for ids in packing.Words(WORDS).encode(part)]
     monkeypatch.setattr(W, "SLICE_BYTES", 300)
-    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    monkeypatch.setattr(packing, "REMEMBERED", 200)
     monkeypatch.setattr(packing._Known, "FRESH", 3)
     own = packing.Words(WORDS)
     assert [ids.tolist() for part in W.slices(batch) for ids in own.encode(part)] == whole
