@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatlens.llm import bpe, hamming, neighbours, revisits, rules
+from seatlens.llm.alignment import align
 from seatlens.llm.jaccard import jaccard_groups
 from seatlens.llm.language import identify
 from seatlens.llm.packing import pack
@@ -82,6 +83,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align(documents(spark, sf_dir), path_a, path_b).documents.drop("groups")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -94,4 +100,5 @@ def queries() -> dict[str, Query]:
         "op8_revisits": op8_revisits,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
+        "op11_tokenizer_alignment": op11_tokenizer_alignment,
     }

@@ -105,7 +105,8 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = F
     if not len(start):
         return np.empty(0, dtype=_U)
     place = np.zeros(len(data), dtype=np.int64)
-    place[start] = start
+    inside = start[start < len(data)]  # an empty span may stand at the end
+    place[inside] = inside
     place = np.arange(len(data), dtype=np.int64) - np.maximum.accumulate(place)
     place = (place & (BLOCK - 1)) << 8
     place |= LOWER[data] if lower else data
