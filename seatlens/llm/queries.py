@@ -15,6 +15,7 @@ from seatlens.llm.language import identify
 from seatlens.llm.packing import pack
 from seatlens.llm.pii import pii_digests
 from seatlens.llm.secrets import secret_digests
+from seatlens.llm.sharding import shard_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,10 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(documents(spark, sf_dir), path_a, path_b).documents.drop("groups")
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_digests(documents(spark, sf_dir), shards=40)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -101,4 +106,5 @@ def queries() -> dict[str, Query]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
         "op11_tokenizer_alignment": op11_tokenizer_alignment,
+        "op12_sharding": op12_sharding,
     }
