@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatlens.llm import bpe, hamming, neighbours, revisits, rules
+from seatlens.llm import bpe, hamming, neighbours, revisits, rules, tries
 from seatlens.llm.alignment import align
 from seatlens.llm.jaccard import jaccard_groups
 from seatlens.llm.language import identify
@@ -93,6 +93,11 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(documents(spark, sf_dir), shards=40)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return tries.prefix_trie(tries.branched(tries.conversation_paths(turns)))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -107,4 +112,5 @@ def queries() -> dict[str, Query]:
         "op10_language": op10_language,
         "op11_tokenizer_alignment": op11_tokenizer_alignment,
         "op12_sharding": op12_sharding,
+        "op13_prefix_trie": op13_prefix_trie,
     }

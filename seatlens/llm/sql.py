@@ -111,5 +111,45 @@ FROM judged
 """
 
 
+def prefix_trie_sql(source: str) -> str:
+    """The trie of a relation of conv_id, turn, role and text; h comes from the checksum, bit by bit."""
+    bits = "list_prepend(4294967295::BIGINT, flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(conv_id::VARCHAR, '')]))"
+    step = "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END"
+    return f"""
+WITH turns AS (
+    SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS k,
+           length(coalesce(text, '')) AS points
+    FROM {source} WHERE conv_id IS NOT NULL
+),
+own AS (
+    SELECT conv_id, list({{'k': k, 'points': points}} ORDER BY turn NULLS FIRST, k) AS t,
+           xor(list_reduce({bits}, lambda c, x: {step}), 4294967295) % 6 AS h
+    FROM turns GROUP BY conv_id
+),
+rebuilt AS (
+    SELECT o.conv_id, list_concat(coalesce(f.t[1 : o.h], []), o.t[o.h + 1 :]) AS t
+    FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 100
+),
+member AS (
+    SELECT conv_id, d, [e.k FOR e IN t[1 : d]] AS p, t[d].points AS points, len(t) = d AS ends
+    FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM rebuilt)
+),
+node AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n, coalesce(max(points), 0) AS points,
+           sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM member GROUP BY p, d
+),
+child AS (SELECT p[1 : d - 1] AS p, count(*) AS c FROM node WHERE d > 0 GROUP BY 1),
+whole AS (SELECT v.*, coalesce(c, 0) AS c FROM node v LEFT JOIN child ON child.p = v.p),
+subtree AS (
+    SELECT p[1 : k] AS p, count(*) FILTER (c = 0) AS leaves, sum((n - 1) * points)::BIGINT AS saved
+    FROM (SELECT *, unnest(range(d + 1)) AS k FROM whole) GROUP BY 1
+)
+SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, v.c AS n_children, s.leaves AS n_leaves,
+       s.saved AS saved_tokens, v.ends_sha256
+FROM whole v JOIN subtree s ON s.p = v.p LEFT JOIN node up ON v.d > 0 AND up.p = v.p[1 : v.d - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard_join": _OP1, "op6_hamming_top_k": _OP6, "op8_revisits": _OP8}
+    return {"op1_jaccard_join": _OP1, "op6_hamming_top_k": _OP6, "op8_revisits": _OP8, "op13_prefix_trie": prefix_trie_sql("conversations")}
