@@ -7,7 +7,6 @@ import io
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 from seatlens.functions import text
 from seatlens.schemas import Feed, quoted
 from seatlens.session import broadcast_if_small, stage, task_slots
+from seatlens.sources import quoted_csv
 from seatlens.sources.listing import hidden_files, literal
 from seatlens.sources.records import to_batches
 from seatlens.sources.workbooks import unique_names
@@ -78,18 +78,18 @@ def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from to_batches(map(_header, batch["uri"].to_pylist()), _HEADERS_ARROW)
 
 
-def _broken_lines(spark: SparkSession, folder: str, names: str) -> list[str]:
+def _broken_files(spark: SparkSession, folder: str, names: str) -> DataFrame:
     """The files with a line of an odd number of quotes, which is one that a quoted text goes on from.
 
-    One splittable pass over the lines; only such files' names come to the driver.
+    One splittable pass over the lines; the list stays a table.
     """
     lines = spark.read.option("pathGlobFilter", names).text(folder)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     odd = lines.where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("uri")).distinct()
-    return sorted(r.uri for r in odd.collect())
+    return stage(odd, "broken-files")
 
 
-def _scan(reader: DataFrameReader, paths: str | list[str], width: int, multiline: bool) -> DataFrame:
+def _scan(reader: DataFrameReader, folder: str, width: int) -> DataFrame:
     """Rows as arrays of texts by position, with their place in the input."""
     fields = [f"_{i}" for i in range(width)]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*fields, _SURPLUS]])
@@ -98,8 +98,7 @@ def _scan(reader: DataFrameReader, paths: str | list[str], width: int, multiline
         .option("header", True)
         .option("enforceSchema", True)
         .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(paths)
+        .csv(folder)
     )
     return scan.select(
         F.col("_metadata.file_path").alias("uri"),
@@ -110,6 +109,26 @@ def _scan(reader: DataFrameReader, paths: str | list[str], width: int, multiline
     )
 
 
+def _scan_quoted(
+    reader: DataFrameReader, folder: str, width: int, broken: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """The same of files with line breaks inside quotes, and the files whose quotes don't end."""
+    lines = reader.option("lineSep", "\n").text(folder).select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("source_block"),
+        F.monotonically_increasing_id().alias("row_pos"),
+        "value",
+    )
+    if broken is not None:
+        lines = lines.join(broadcast_if_small(broken), "uri", "left_semi")
+    records = quoted_csv.read_records(lines)
+    rows = quoted_csv.without_headers(records.rows)
+    parsed = rows.withColumn("record", quoted_csv.fields(F.col("record"), width, _SURPLUS))
+    cells = F.array(*[F.col("record")[f"_{i}"] for i in range(width)])
+    kept = parsed.select("uri", "source_block", "row_pos", cells.alias("cells"), F.col("record")[_SURPLUS].alias(_SURPLUS))
+    return kept.join(broadcast_if_small(records.unended), "uri", "left_anti"), records.unended
+
+
 def combine_feed(
     spark: SparkSession,
     folder: str,
@@ -125,9 +144,10 @@ def combine_feed(
     ``columns`` are kept, the feed's own unless others are named; a column that
     no file has is left out. A file's rows are in the order (block, row_pos).
 
-    Files are read in blocks by several tasks, but for those with line breaks
-    inside quotes. ``multiline`` says whether all or none have such; without it
-    one pass over the lines finds out.
+    Files are read in blocks by several tasks, those with line breaks inside
+    quotes by the states of their lines (``quoted_csv``). ``multiline`` says
+    whether all or none have such; without it one pass over the lines finds out.
+    A file in which a quoted text does not end is left out.
 
     The union is staged as Parquet: the text is parsed once, and leaving out
     files with malformed lines costs a read of two columns. ``rejected`` names
@@ -157,14 +177,17 @@ def combine_feed(
         raise FileNotFoundError(f"no usable CSV files for {feed.name} in {folder}")
 
     reader = lambda: spark.read.option("pathGlobFilter", names)
-    if multiline is None:
-        broken = _broken_lines(spark, folder, names)
-        scan = _scan(reader(), folder, facts.width, False)
-        if broken:
-            whole = _scan(reader(), [literal(unquote(p)) for p in broken], facts.width, True)
-            scan = scan.where(~F.col("uri").isin(broken)).unionByName(whole)
-    else:
-        scan = _scan(reader(), folder, facts.width, multiline)
+    broken = _broken_files(spark, folder, names) if multiline is None else None
+    some = bool(multiline) if broken is None else not broken.isEmpty()
+    if some:
+        scan, unended = _scan_quoted(reader(), folder, facts.width, broken)
+        unended = unended.select(_plain(F.col("uri")).alias("source_file"), F.lit(quoted_csv.UNENDED).alias("error"))
+        rejected = rejected.unionByName(unended)
+    if broken is not None or not some:
+        plain = _scan(reader(), folder, facts.width)
+        if some:
+            plain = plain.join(broadcast_if_small(broken), "uri", "left_anti")
+        scan = scan.unionByName(plain) if some else plain
 
     rows = scan.join(broadcast_if_small(usable), "uri")
     beyond = F.exists(F.slice("cells", F.col("width") + 1, facts.width), lambda v: v.isNotNull())

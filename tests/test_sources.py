@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import csv
 import io
+import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from seatlens.functions.text import NULL_TOKENS
 from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
 from seatlens.sources import csv_feeds, tables, workbooks
@@ -349,3 +352,37 @@ def test_merge_issue_needs_zero_desks(spark):
     )
     assert rows(quality.merge_issues(fact), "office_location") == [("A",)]
     assert rows(quality.missing_capacity(fact), "office_location") == [("B",)]
+
+
+def _read_quoted(spark, path, block):
+    """Rows of a feed read in blocks of this many bytes, in order."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        combined = csv_feeds.combine_feed(spark, str(path), DESKCOUNT, columns=["OfficeLocation", "Address", "n"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    ordered = combined.rows.orderBy("source_file", "source_block", "row_pos").collect()
+    return ordered, {r.source_file.rsplit("/", 1)[1]: r.error for r in combined.rejected.collect()}
+
+
+@pytest.mark.parametrize("block", [60, 700, 10_000_000])
+def test_quoted_line_breaks_in_any_blocks(spark, tmp_path, block):
+    """Texts that go on over lines and whole blocks, against Python's own reader."""
+    rng = random.Random(block)
+    pieces = ["x", "a,b", "\n", '"', '""', "\r\n", "\n\n", ",", '","', ' "', "1", "long text " * 20, ",\n", '\n"', '"\n']
+    cell = lambda: "".join(rng.choice(pieces) for _ in range(rng.randrange(4)))
+    want = [[cell() or "o", cell() or "y", str(i)] for i in range(300)]
+    want[150][1] = "\n".join(f'line {i}, "said" so' for i in range(200))
+    buffer = io.StringIO()
+    csv.writer(buffer).writerows([["OfficeLocation", "Address", "n"], *want])
+    put(tmp_path / "a.csv", buffer.getvalue())
+    put(tmp_path / "b.csv", 'n,OfficeLocation\n1,5" pipe\n2,B\n')  # a quote that opens nothing
+    put(tmp_path / "c.csv", 'OfficeLocation,n\nA,1\n"no end,2\nB,3\n')
+    got, left = _read_quoted(spark, tmp_path, block)
+    own = [[r.OfficeLocation, r.Address, r.n] for r in got if r.source_file.endswith("a.csv")]
+    texts = [[v if v not in NULL_TOKENS else None for v in row] for row in want]
+    assert own == texts
+    assert [(r.OfficeLocation, r.n) for r in got if r.source_file.endswith("b.csv")] == [('5" pipe', "1"), ("B", "2")]
+    assert left == {"c.csv": "a quoted text does not end"}
+    if block < 1000:
+        assert len({r.source_block for r in got if r.source_file.endswith("a.csv")}) > 5
