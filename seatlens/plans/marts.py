@@ -13,6 +13,7 @@ from seatlens.plans.dims import Calendar
 from seatlens.schemas import DESKCOUNT, FEEDS, OCCUPANCY, ROW_ORDER, TABLES, Feed, conform
 from seatlens.session import new_folder, temporary_stages
 from seatlens.sources import tables as sinks
+from seatlens.sources import versions
 from seatlens.sources.csv_feeds import combine_feed
 from seatlens.sources.workbooks import ingest_workbooks, raise_rejected
 
@@ -35,26 +36,30 @@ def build_marts(
     order: Sequence[str] = ROW_ORDER,
     folder: str | None = None,
 ) -> Marts:
-    """Write every table of the star schema under ``folder`` and report on it.
+    """Write every table of the star schema as a new version under ``folder`` and report on it.
 
     Each table is written once and read back by its consumers, so the visits
     are read and de-duplicated a single time, and a lost executor costs no more
     than its unfinished tasks. Without a folder the shared one is used. What was
-    staged on the way is deleted at the end.
+    staged on the way is deleted at the end. When all tables are written, one
+    manifest puts them in force together (``sources.versions``); a build that
+    fails leaves the earlier version as it was.
 
-    Rows are counted while they are written. Only the two ``loaded`` counts are
-    taken before a shuffle; where Spark has to run a lost map task again, they
-    count its rows twice.
+    Rows are counted while tables are written, the loaded ones by a count of
+    their own: a task that Spark has to run again counts once.
     """
-    with temporary_stages(visits_raw.sparkSession):
-        return _build(visits_raw, desk_raw, calendar, order, folder)
+    spark = visits_raw.sparkSession
+    version = versions.new_version(folder or new_folder(spark, "marts"))
+    with temporary_stages(spark):
+        marts, rows = _build(visits_raw, desk_raw, calendar, order, version)
+    versions.commit(spark, version, rows)
+    return marts
 
 
 def _build(
-    visits_raw: DataFrame, desk_raw: DataFrame, calendar: Calendar, order: Sequence[str], folder: str | None
-) -> Marts:
+    visits_raw: DataFrame, desk_raw: DataFrame, calendar: Calendar, order: Sequence[str], root: str
+) -> tuple[Marts, dict[str, int]]:
     spark = visits_raw.sparkSession
-    root = folder or new_folder(spark, "marts")
     seen: dict[str, Observation] = {}
 
     def watched(name: str, df: DataFrame, **measures: Column) -> DataFrame:
@@ -63,15 +68,16 @@ def _build(
         return df.observe(seen[name], rows, *[m.alias(k) for k, m in measures.items()])
 
     def write(name: str, df: DataFrame, by: Sequence[str] = (), **measures: Column) -> DataFrame:
-        watched(name, df, **measures).write.mode("overwrite").partitionBy(*by).parquet(f"{root}/{name}")
+        watched(name, df, **measures).write.partitionBy(*by).parquet(f"{root}/{name}")
         return spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns)
 
     flag = clean.include_flag(desk_raw)
     unflagged = F.count_if(F.lit(False) if flag is None else flag.isNull())
-    cleaned = clean.clean_occupancy(watched("visits", visits_raw), order)
+    loaded = visits_raw.agg(F.count(F.lit(1)).alias("rows")).first()
+    desks = desk_raw.agg(F.count(F.lit(1)).alias("rows"), unflagged.alias("unflagged")).first()
+    cleaned = clean.clean_occupancy(visits_raw, order)
     visits = write("occupancy_clean", cleaned.hint("rebalance", *_MONTH), by=_MONTH)
-    desks = watched("snapshots", desk_raw, unflagged=unflagged)
-    snapshots = write("deskcount_clean", clean.clean_deskcount(desks, order))
+    snapshots = write("deskcount_clean", clean.clean_deskcount(desk_raw, order))
     daily = write("daily_attendance", facts.daily_attendance(visits))
     locations = write("dim_location", dims.dim_location(daily, desk_raw, order))
     lobs = write("dim_line_of_business", dims.dim_line_of_business(daily))
@@ -105,14 +111,14 @@ def _build(
     rows = {name: observed.get for name, observed in seen.items()}
     steps = profile.step_counts(
         {
-            "visits loaded": rows["visits"]["rows"],
+            "visits loaded": loaded.rows,
             "visits de-duplicated": rows["occupancy_clean"]["rows"],
             "visits outside the window": lost.outside,
             "visits without an office": lost.without_office,
             "visits of unknown offices": lost.unknown_office,
             "visits in the fact": rows["fact_occupancy_aggregated"]["attendance"] or 0,
-            "snapshots loaded": rows["snapshots"]["rows"],
-            "snapshots without a flag": rows["snapshots"]["unflagged"],
+            "snapshots loaded": desks.rows,
+            "snapshots without a flag": desks.unflagged,
             "snapshots included": rows["deskcount_clean"]["rows"],
             "fact rows": rows["fact_occupancy"]["rows"],
             "fact rows with capacity": rows["fact_occupancy"]["capacity"],
@@ -122,7 +128,7 @@ def _build(
         spark,
     )
     reports = quality.quality_report(fact, aggregated, locations, daily, snapshots)
-    return Marts(tables, reports, steps)
+    return Marts(tables, reports, steps), {name: rows[name]["rows"] for name in tables}
 
 
 def run_all(
@@ -141,8 +147,8 @@ def run_all(
 
     ``inputs`` holds one folder per feed, with workbooks (``files="xlsx"``) or
     CSV files (``files="csv"``; ``multiline`` as in ``combine_feed``). Raw tables
-    go to ``folder``/raw, the star schema to ``folder``/marts, the reports to
-    ``folder``/reports. Files that could not be used don't stop the others: they
+    go to ``folder``/raw, the star schema to a new version in ``folder``/marts
+    (``versions.read``), the reports to ``folder``/reports. Files that could not be used don't stop the others: they
     are listed in ``folder``/raw/rejected_files and counted in the steps, and at
     the end, when all else is done, they fail the job unless ``fail_on_rejected``
     is false. Other errors of any step, publishing included, are raised at once.

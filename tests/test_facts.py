@@ -11,6 +11,7 @@ from seatlens.operators.hybrid import hybrid_flags
 from seatlens.plans import clean, dims, facts, marts, quality
 from seatlens.plans.dims import Calendar
 from seatlens.session import stage
+from seatlens.sources import versions
 from fixtures.tables import ORDER, Build
 from tests.helpers import day, rows
 
@@ -283,6 +284,23 @@ def test_steps_account_for_every_visit(spark, tmp_path):
     assert [steps[p] for p in parts] == [2, 1, 1, 1]
 
 
+def test_a_failed_build_leaves_the_earlier_version(spark, tmp_path):
+    raw = visits(spark, ("u", "A", "x", "2024-01-01"), ("v", "A", "x", "2024-01-02"))
+    snaps, root = desks(spark, ("A", "2", "1", "2024-01-01")), str(tmp_path / "m")
+    marts.build_marts(raw, snaps, Calendar(), ["seq"], root)
+    more = raw.union(visits(spark, ("w", "B", "x", "2024-01-03")))
+    broken = snaps.withColumn("RSF", F.raise_error(F.lit("no area")).cast("string"))
+    with pytest.raises(Exception, match="no area"):
+        marts.build_marts(more, broken, Calendar(), ["seq"], root)
+    assert versions.current(spark, root).number == 1
+    assert rows(versions.read(spark, root, "dim_location"), "office_location") == [("A",)]
+    assert versions.read(spark, root, "occupancy_clean").count() == 2
+    built = marts.build_marts(more, snaps, Calendar(), ["seq"], root)
+    assert versions.current(spark, root).number == 2
+    for name, table in built.tables.items():
+        assert rows(versions.read(spark, root, name)) == rows(table)
+
+
 def test_a_month_of_the_fact_is_read_alone(spark, tmp_path):
     entries = [(f"u{i}", "A", "x", f"2024-{m:02d}-15") for i, m in enumerate(range(1, 7))]
     built = marts.build_marts(visits(spark, *entries), desks(spark, ("A", "2", "1", "2024-06-01")), Calendar(), ["seq"], str(tmp_path))

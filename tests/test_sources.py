@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seatlens.functions.text import NULL_TOKENS
 from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
-from seatlens.sources import csv_feeds, tables, workbooks
+from seatlens.sources import csv_feeds, ledger, tables, versions, workbooks
 from seatlens.sources.xlsx import first_sheet
 from fixtures.files import workbook
 from tests.helpers import day, rows
@@ -276,13 +276,77 @@ def test_publish(spark):
     assert tables.publish(first, "plans_db.occupancy") == 2
     assert tables.publish(first, "plans_db.occupancy") == 2
     assert spark.table("plans_db.occupancy").count() == 2
-    assert tables.publish(first.limit(1), "plans_db.occupancy", mode="append") == 1
+    assert tables.publish(first.where("month = 1"), "plans_db.occupancy", mode="append") == 1
     published = tables.conform(tables.require_table(spark, "plans_db.occupancy"), PUBLISHED_AGGREGATED)
     assert published.count() == 3 and published.schema["attendance_count"].dataType.simpleString() == "int"
     with pytest.raises(ValueError):
         tables.publish(first, "plans_db.occupancy", mode="ignore")
 
 
+def test_a_batch_is_appended_once(spark, tmp_path, monkeypatch):
+    first = aggregated(spark, ("2024-01-01", "A", 1, 2), ("2024-02-01", "A", 3, None))
+    batch = aggregated(spark, ("2024-02-02", "B", 5, None), ("2024-03-01", "B", 6, 1), ("2024-03-01", "B", 6, 1))
+    name = "once_db.occupancy"
+    assert tables.publish(first, name, "append", path=str(tmp_path / "t")) == 2  # makes the table
+    assert tables.publish(first.orderBy(F.desc("date")), name, "append") == 0
+    moves = []
+
+    def breaks(spark, old, new):
+        if len(moves) == 1:
+            raise OSError("the driver is lost")
+        moves.append(new)
+        rename(spark, old, new)
+
+    rename = ledger.files.rename
+    monkeypatch.setattr(ledger.files, "rename", breaks)
+    with pytest.raises(OSError, match="lost"):
+        tables.publish(batch, name, "append")
+    monkeypatch.setattr(ledger.files, "rename", rename)
+    assert tables.publish(batch.repartition(3), name, "append") == 3
+    assert tables.publish(batch, name, "append") == 0
+    assert rows(spark.table(name), "date", "attendance_count") == rows(first.union(batch), "date", "attendance_count")
+    assert sorted(ledger.entries(spark, tables._location(spark, name)).values()) == [2, 3]
+    # the same numbers in other columns, or a null in another place, are another batch
+    swapped = batch.withColumn("deskcount", F.col("location_key")).withColumn("location_key", F.lit(None).cast("int"))
+    assert ledger.digest(swapped) != ledger.digest(batch) == ledger.digest(batch.repartition(2))
+    late = aggregated(spark, ("2024-03-05", "C", 7, 1))
+    assert tables.publish(late, name, "replace") == tables.publish(late, name, "replace") == 1
+    assert rows(spark.table(name), "date") == rows(first.union(batch).union(late).where("month < 3 OR office_location = 'C'"), "date")
+
+
+def test_a_failed_publish_leaves_the_table(spark):
+    first = aggregated(spark, ("2024-01-01", "A", 1, 2), ("2024-02-01", "A", 3, None))
+    tables.publish(first, "kept_db.occupancy")
+    broken = first.withColumn("deskcount", F.when(F.col("month") == 2, F.raise_error(F.lit("no desks")).cast("int")))
+    with pytest.raises(Exception, match="no desks"):
+        tables.publish(broken, "kept_db.occupancy")
+    assert spark.table("kept_db.occupancy").count() == 2
+    assert tables.publish(first.limit(1), "kept_db.occupancy") == 1 == spark.table("kept_db.occupancy").count()
+
+
+def test_versions_switch_together(spark, tmp_path):
+    root = str(tmp_path / "v")
+    assert versions.current(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, root, "a")
+    for n in (1, 2, 3):
+        folder = versions.new_version(root)
+        spark.range(n).write.parquet(f"{folder}/a")
+        if n == 1:
+            with pytest.raises(FileNotFoundError, match="lacks b"):
+                versions.commit(spark, folder, {"a": 1, "b": 1})
+        spark.range(10 * n).write.parquet(f"{folder}/b")
+        assert versions.read(spark, root, "a").count() == n - 1 if n > 1 else True
+        assert versions.commit(spark, folder, {"a": n, "b": 10 * n}).number == n
+        assert versions.read(spark, root, "b").count() == 10 * n
+    unfinished = versions.new_version(root)
+    spark.range(5).write.parquet(f"{unfinished}/a")
+    assert versions.current(spark, root).rows == {"a": 3, "b": 30}
+    assert len(versions.vacuum(spark, root, keep=2)) == 2  # the first and the unfinished one
+    assert versions.read(spark, root, "a").count() == 3 and versions.current(spark, root).number == 3
+    assert not versions.files.create_text(spark, f"{root}/_manifests/00000003.json", "{}")
+
+
 def test_publish_without_database_creates_none(spark):
     before = {d.name for d in spark.catalog.listDatabases()}
     tables.publish(aggregated(spark, ("2024-01-01", "A", 1, 2)), "plain_occupancy", partition_by=())
