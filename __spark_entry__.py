@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -23,24 +24,26 @@ from seatlens.operators.grid import calendar_days  # noqa: E402
 from seatlens.plans import clean, dims, facts, marts, profile, quality  # noqa: E402
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, conform  # noqa: E402
 from seatlens.session import new_folder, stage  # noqa: E402
-from seatlens.sources import csv_feeds, periods, tables, workbooks  # noqa: E402
+from seatlens.sources import csv_feeds, periods, tables, versions, workbooks  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The training-text operators are a part of their own: without it, the rest works.
-try:
-    import seatlens.llm.queries as llm_queries
-    import seatlens.llm.sql as llm_sql
-except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith("seatlens.llm"):
-        raise
-    llm_queries = llm_sql = None
-try:
-    import corpus_pipeline
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("seatlens.llm"):
-        raise
-    corpus_pipeline = None
+# The training-text operators are a part of their own: without it, or what it needs, the rest works.
+_OPTIONAL = ("seatlens.llm", "corpus_pipeline", "public_tokenizers", "regex", "tokenizers", "sentencepiece")
+
+
+def _optional(name: str):
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if not (missing.name or "").startswith(_OPTIONAL):
+            raise
+        return None
+
+
+llm_queries, llm_sql, corpus_pipeline = map(_optional, ("seatlens.llm.queries", "seatlens.llm.sql", "corpus_pipeline"))
+if llm_queries is None:
+    llm_sql = corpus_pipeline = None
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -160,6 +163,95 @@ def publish_roundtrip(b: Build) -> DataFrame:
     return conform(tables.require_table(b.spark, table_name), tables.PUBLISHED_AGGREGATED)
 
 
+def publish_batches(b: Build) -> DataFrame:
+    """The fact published in parts: years appended, each delivered twice, and one replaced by itself."""
+    name = "seatlens_check.fact_by_batches"
+    b.spark.sql(f"CREATE DATABASE IF NOT EXISTS seatlens_check LOCATION '{new_folder(b.spark, 'db')}'")
+    fact = stage(b.aggregated, "aggregated")
+    part = lambda condition: fact.where(condition)
+    tables.publish(part("year < 1997"), name, path=new_folder(b.spark, "batches"))
+    for again in (False, True):
+        for condition in ("year = 1997", "year > 1997"):
+            batch = part(condition)
+            tables.publish(batch.orderBy("office_location") if again else batch, name, "append")
+    tables.publish(part("year = 1998"), name, "replace")
+    return conform(tables.require_table(b.spark, name), tables.PUBLISHED_AGGREGATED)
+
+
+#: A number to add up per table, to compare whole tables by.
+_TOTALS = {
+    "occupancy_clean": "year * 100 + month",
+    "deskcount_clean": "deskcount",
+    "dim_date": "date_key",
+    "dim_location": "location_key * 10 + RSF",
+    "dim_line_of_business": "lob_key * length(line_of_business)",
+    "fact_occupancy": "attendance_count * lob_key + coalesce(deskcount, 0)",
+    "fact_occupancy_aggregated": "attendance_count * location_key + int(is_hybrid_day)",
+}
+
+
+def build_switch(b: Build) -> DataFrame:
+    """A build, then one of other rows that breaks off half way: all tables are still the first one's."""
+    root = new_folder(b.spark, "switched")
+    marts.build_marts(b.raw.visits, b.raw.desks, b.raw.calendar, ORDER, root)
+    no_area = b.raw.desks.withColumn("RSF", F.raise_error(F.lit("no area")).cast("bigint"))
+    try:
+        marts.build_marts(b.raw.visits.where("seq % 2 = 0"), no_area, b.raw.calendar, ORDER, root)
+    except Exception as broken:  # noqa: BLE001
+        if "no area" not in str(broken):
+            raise
+    parts = [
+        versions.read(b.spark, root, name).agg(
+            F.lit(name).alias("table"), F.count("*").alias("rows"), F.sum(F.expr(total)).cast("bigint").alias("total")
+        )
+        for name, total in _TOTALS.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def run_all_csv(b: Build) -> DataFrame:
+    """The whole job, from CSV files to tables, reports and a published table."""
+    folder, out = new_folder(b.spark, "inputs"), new_folder(b.spark, "out")
+    for name, rows in (("Occupancy", b.raw.visits), ("Deskcount", b.raw.desks)):
+        ordered = rows.repartitionByRange(4, "seq").sortWithinPartitions("seq").drop("seq")
+        ordered.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(f"{folder}/{name}")
+    b.spark.sql(f"CREATE DATABASE IF NOT EXISTS seatlens_check LOCATION '{new_folder(b.spark, 'db')}'")
+    marts.run_all(b.spark, folder, out, b.raw.calendar, files="csv", table="seatlens_check.fact_of_run")
+    return conform(tables.require_table(b.spark, "seatlens_check.fact_of_run"), tables.PUBLISHED_AGGREGATED)
+
+
+def csv_quoted(b: Build) -> DataFrame:
+    """Visits in a few CSV files of many blocks, with line breaks in quotes; some texts are longer than a block."""
+    folder = new_folder(b.spark, "csv-quoted")
+    seq = F.col("seq")
+    lines = F.when(seq % 2500 == 0, 20_000).otherwise((seq % 7).cast("int"))
+    office = F.concat(F.lit('Gate "'), (seq % 10).cast("string"), F.lit('",\n'), F.repeat(F.lit("floor\n"), lines), F.trim("OfficeLocation"))
+    visits = stage(b.raw.visits.select("Username", office.alias("OfficeLocation"), "LogonDate", "seq"), "visits")
+    many = visits.count()
+    visits.repartition(max(3, many // 2_000_000), "seq").drop("seq").write.option("header", True).option("escape", '"').csv(folder)
+    block = "spark.sql.files.maxPartitionBytes"
+    before = b.spark.conf.get(block)
+    b.spark.conf.set(block, str(65536 * max(1, many // 50_000)))
+    try:
+        return csv_feeds.combine_feed(b.spark, folder, OCCUPANCY).rows.select("Username", "OfficeLocation", "LogonDate")
+    finally:
+        b.spark.conf.set(block, before)
+
+
+def csv_monthly_names(b: Build) -> DataFrame:
+    """Files named by month and feed count, others beside them don't."""
+    folder = new_folder(b.spark, "csv-named")
+    month, odd = F.date_format("LogonDate", "yyyy-MM"), F.col("seq") % 3 == 0
+    name = F.when(odd, F.concat(month, F.lit("_Occupancy.csv"))).otherwise(F.concat(month, F.lit("_other.csv")))
+    line = F.concat_ws(",", "Username", "LogonDate")
+    few = b.raw.visits.where(F.col("Username").isNotNull())
+    write_csv_texts(few.select(name.alias("file"), F.lit("Username,LogonDate").alias("header"), line.alias("line"), "seq"), folder)
+    rows = csv_feeds.combine_feed(b.spark, folder, OCCUPANCY).rows
+    return rows.select(F.regexp_extract("source_file", "[^/]+$", 0).alias("file"), "Username", "LogonDate")
+
+
 def combine_union(b: Build) -> DataFrame:
     """Write the visits as CSV files with three different headers and combine them."""
     folder = new_folder(b.spark, "csv")
@@ -179,9 +271,9 @@ def combine_union(b: Build) -> DataFrame:
 
 
 def csv_rejected(b: Build) -> DataFrame:
-    """Visits in CSV files of one day each, some of them unusable; what is kept and what is left out."""
+    """Visits in CSV files of one day each, or parts of it, some unusable; what is kept and what is left out."""
     folder = new_folder(b.spark, "csv-bad")
-    day = F.dayofmonth("LogonDate")
+    day, part = F.dayofmonth("LogonDate"), F.floor(F.col("seq") / 100_000).cast("string")
     header = F.when(day % 5 == 1, "OFFICELOCATION ,LogonDate,Username").otherwise("Username,OfficeLocation,LogonDate")
     cells = (
         F.when(day % 5 == 1, F.concat(F.lit('"'), F.trim("OfficeLocation"), F.lit('",'), F.concat_ws(",", "LogonDate", "Username")))
@@ -189,7 +281,7 @@ def csv_rejected(b: Build) -> DataFrame:
         .when(day % 5 == 3, F.concat(F.col("Username").cast("string"), F.lit(',"two\nlines",'), F.col("LogonDate").cast("string")))
         .otherwise(F.concat_ws(",", "Username", F.lit("x"), "LogonDate"))
     )
-    name = F.concat(F.when(day % 5 == 4, "_").otherwise(""), F.lit("day"), day.cast("string"), F.lit(".csv"))
+    name = F.concat(F.when(day % 5 == 4, "_").otherwise(""), F.lit("day"), day.cast("string"), F.lit("-"), part, F.lit(".csv"))
     write_csv_texts(b.raw.visits.select(name.alias("file"), header.alias("header"), cells.alias("line"), "seq"), folder)
     combined = csv_feeds.combine_feed(b.spark, folder, OCCUPANCY)
     file = F.regexp_extract("source_file", "[^/]+$", 0).alias("file")
@@ -266,13 +358,25 @@ def workbook_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select(file, "error").union(landed)
 
 
+def workbook_relanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks of all months, and then of every second month, land in one place: only the latter stay."""
+    folder, out = new_folder(spark, "Deskcount"), new_folder(spark, "landed")
+    workbooks.ingest_workbooks(spark, _desk_workbooks(spark, sf_dir), DESKCOUNT, out)
+    seq, month = F.col("seq"), F.month("Date")
+    name = F.concat(F.date_format("Date", "yyyy-MM"), F.lit(" "), F.floor(seq / 100_000).cast("string"), F.lit(".xlsx"))
+    again = orders_desks(spark, sf_dir).where(month % 2 == 0).withColumn("file", name)
+    write_workbooks(again, folder, "file", _DESK_COLUMNS, "seq")
+    return workbooks.ingest_workbooks(spark, folder, DESKCOUNT, out).rows.select("year_month", *_DESK_COLUMNS)
+
+
 def workbook_header_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbooks whose headers differ in case and blanks land as one set of columns."""
     folder = new_folder(spark, "Deskcount")
     desks = orders_desks(spark, sf_dir)
     spellings = [_DESK_COLUMNS, ["officelocation", "DESKCOUNT ", "rsf", " date", "Include In Occupancy Calculation "]]
     for part, names in enumerate(spellings):
-        file = F.concat(F.date_format("Date", "yyyy-MM"), F.lit(".xlsx"))
+        chunk = F.floor(F.col("seq") / 100_000).cast("string")
+        file = F.concat(F.date_format("Date", "yyyy-MM"), F.lit(" "), chunk, F.lit(".xlsx"))
         renamed = [F.col(c).alias(n) for c, n in zip(_DESK_COLUMNS, names, strict=True)]
         own = desks.where(F.month("Date") % 2 == part).select("seq", file.alias("file"), *renamed)
         write_workbooks(own, folder, "file", names, "seq")
@@ -354,6 +458,9 @@ _EVENTS_ONLY: dict[str, Callable[[Build], DataFrame]] = {
     "fact_sorted_export": fact_sorted_export,
     "reports_roundtrip": reports_roundtrip,
     "csv_rejected": csv_rejected,
+    "csv_quoted": csv_quoted,
+    "csv_monthly_names": csv_monthly_names,
+    "run_all_csv": run_all_csv,
 }
 
 
@@ -381,6 +488,9 @@ def queries() -> dict[str, Query]:
         "workbook_landing": workbook_landing,
         "workbook_rejected": workbook_rejected,
         "workbook_header_drift": workbook_header_drift,
+        "workbook_relanded": workbook_relanded,
+        "publish_batches": _on("orders", publish_batches),
+        "build_switch": _on("orders", build_switch),
         "marts_build": _on("orders", lambda b: build(b).tables["fact_occupancy"]),
         **(llm_queries.queries() if llm_queries else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -12,6 +13,9 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatlens.session import new_folder
+from seatlens.sources import files
+
 _XML = '<?xml version="1.0" encoding="UTF-8"?>'
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -65,14 +69,16 @@ def write_workbooks(df: DataFrame, folder: str, name: str, columns: Sequence[str
 
 
 def write_csv_texts(df: DataFrame, folder: str) -> int:
-    """Write rows of (file, header, line, seq) as one text file per name, just as the lines are; return their number."""
-
-    def write(group: pd.DataFrame) -> pd.DataFrame:
-        file_name = group["file"].iloc[0]
-        system, path = _path_in(folder, file_name)
-        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(path) as out:
-            out.write("\n".join([group["header"].iloc[0], *group.sort_values("seq")["line"], ""]).encode())
-        return pd.DataFrame({"file": [file_name]})
-
-    return df.groupBy("file").applyInPandas(write, "file string").count()
+    """Write rows of (file, header, line, seq) as one text file per name, just as the lines are; return their number.
+
+    Lines are sorted and written by Spark, a file's by one task, line by line; then the files get their names.
+    """
+    spark, parts = df.sparkSession, new_folder(df.sparkSession, "texts")
+    headers = df.groupBy("file").agg(F.first("header").alias("line"), F.lit(None).cast("bigint").alias("seq"))
+    lines = headers.unionByName(df.select("file", "line", F.col("seq").cast("bigint").alias("seq")))
+    dealt = lines.repartition("file").sortWithinPartitions("file", F.col("seq").asc_nulls_first())
+    dealt.select("file", "line").write.partitionBy("file").option("lineSep", "\n").text(parts)
+    written = [f for f in files.files_below(spark, parts) if "/part-" in f]
+    for part in written:
+        files.rename(spark, f"{parts}/{part}", f"{folder}/{unquote(part.partition('/')[0].removeprefix('file='))}")
+    return len(written)

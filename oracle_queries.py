@@ -293,7 +293,7 @@ UNION ALL SELECT 'validation_summary', 10"""
 
 _CSV_REJECTED = """
 , filed AS (SELECT *, day(logon_date) AS d, CASE WHEN day(logon_date) % 5 = 4 THEN '_' ELSE '' END
-                   || 'day' || day(logon_date) || '.csv' AS file FROM raw_visits)
+                   || 'day' || day(logon_date) || '-' || seq // 100000 || '.csv' AS file FROM raw_visits)
 SELECT file,
        CASE WHEN d % 5 = 4 OR (d % 5 = 2 AND bool_or(seq % 2 = 0)) THEN 0 ELSE count(*) END AS rows,
        CASE WHEN d % 5 = 4 THEN 'name begins with _ or . and is not listed'
@@ -308,6 +308,44 @@ SELECT 'landed', CAST(count(*) AS VARCHAR) FROM (
   SELECT row_number() OVER (PARTITION BY month(date) ORDER BY CAST(seq AS VARCHAR) DESC) AS place
   FROM raw_desks WHERE seq % 10 = 0) WHERE place = 1"""
 
+_CSV_QUOTED = """
+SELECT CAST(username AS VARCHAR) AS "Username",
+       'Gate "' || seq % 10 || '",' || chr(10)
+       || repeat('floor' || chr(10), CASE WHEN seq % 2500 = 0 THEN 20000 ELSE seq % 7 END) || trim(office_raw) AS "OfficeLocation",
+       strftime(logon_date, '%Y-%m-%d') AS "LogonDate"
+FROM raw_visits"""
+
+_CSV_NAMED = """
+SELECT strftime(logon_date, '%Y-%m') || '_Occupancy.csv' AS file, CAST(username AS VARCHAR) AS "Username",
+       strftime(logon_date, '%Y-%m-%d') AS "LogonDate"
+FROM raw_visits WHERE seq % 3 = 0 AND username IS NOT NULL"""
+
+_SWITCHED = """
+, agg AS (SELECT * FROM agg_fact)
+SELECT 'occupancy_clean' AS "table", count(*) AS rows, CAST(sum(year(logon_date) * 100 + month(logon_date)) AS BIGINT) AS total FROM visits
+UNION ALL SELECT 'deskcount_clean', count(*), CAST(sum(deskcount) AS BIGINT) FROM snaps
+UNION ALL SELECT 'dim_date', count(*), CAST(sum(CAST(strftime(d, '%Y%m%d') AS INTEGER)) AS BIGINT)
+          FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d FROM calendar)
+UNION ALL SELECT 'dim_location', count(*), CAST(sum(location_key * 10 + rsf) AS BIGINT) FROM locations
+UNION ALL SELECT 'dim_line_of_business', count(*), CAST(sum(lob_key * length(lob)) AS BIGINT) FROM lobs
+UNION ALL SELECT 'fact_occupancy', count(*), CAST(sum(attendance_count * lob_key + coalesce(deskcount, 0)) AS BIGINT) FROM lob_fact
+UNION ALL SELECT 'fact_occupancy_aggregated', count(*),
+                 CAST(sum(attendance_count * location_key + CAST(is_hybrid_day AS INTEGER)) AS BIGINT) FROM agg"""
+
+_RELANDED = """
+, filed AS (SELECT *, strftime(date, '%Y-%m') AS period, CAST(seq // 100000 AS VARCHAR) AS chunk FROM raw_desks WHERE month(date) % 2 = 0),
+kept AS (SELECT period, max(chunk) AS chunk FROM filed GROUP BY ALL)
+SELECT period AS year_month, office_raw AS "OfficeLocation", CAST(desks_raw AS VARCHAR) AS "Deskcount",
+       CAST(rsf AS VARCHAR) AS "RSF", strftime(date, '%Y-%m-%d') AS "Date",
+       include AS "Include in Occupancy Calculation"
+FROM filed JOIN kept USING (period, chunk)"""
+
+# Of a month's workbooks the last one counts, and they hold up to 100,000 rows each.
+_DRIFTED = """
+, parts AS (SELECT strftime(date, '%Y-%m') AS period, max(CAST(seq // 100000 AS VARCHAR)) AS part FROM raw_desks GROUP BY ALL)
+SELECT office AS office_location, deskcount, date FROM snaps
+JOIN parts ON period = strftime(date, '%Y-%m') AND part = CAST(seq // 100000 AS VARCHAR)"""
+
 _PARSED_DATES = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 16 < 14 THEN CAST(o_orderdate AS DATE) END AS day FROM orders"""
 
@@ -381,6 +419,9 @@ _EVENTS_ONLY = {
     "fact_sorted_export": _SORTED,
     "reports_roundtrip": _REPORTS,
     "csv_rejected": _CSV_REJECTED,
+    "csv_quoted": _CSV_QUOTED,
+    "csv_monthly_names": _CSV_NAMED,
+    "run_all_csv": _PUBLISHED,
 }
 
 
@@ -397,7 +438,10 @@ def oracle_sql() -> dict[str, str]:
     queries["parse_dates"] = _PARSED_DATES.strip()
     queries["parse_numbers"] = _PARSED_NUMBERS.strip()
     queries["workbook_rejected"] = _sql(_WORKBOOKS_REJECTED, "orders")
-    queries["workbook_header_drift"] = _sql(_WITH_SEVERAL_VARIANTS["clean_deskcount"], "orders")
+    queries["workbook_header_drift"] = _sql(_DRIFTED, "orders")
+    queries["workbook_relanded"] = _sql(_RELANDED, "orders")
+    queries["publish_batches"] = _sql(_PUBLISHED, "orders")
+    queries["build_switch"] = _sql(_SWITCHED, "orders")
     queries["period_inference"] = _PERIODS.strip()
     queries["workbook_ingest"] = _sql(_DECODED, "orders")
     queries["workbook_landing"] = _sql(_LANDED, "orders")
