@@ -1,9 +1,9 @@
 """Alignment of two tokenizers over a corpus, by inverted pair bitmaps.
 
 *Units.* A text, with a space put in front, is cut before every space that follows
-printable ASCII. Neither tokenizer has a token across such a cut, so tokens, groups
-and links of a text are those of its units, and a task works out each distinct unit
-once.
+printable ASCII, and between an ASCII letter and a mark that no piece of the model
+joins. Neither tokenizer has a token across such a cut, so tokens, groups and links
+of a text are those of its units, and a task works out each distinct unit once.
 
 *Groups and links.* Byte offsets where tokens of both end cut the tokens into
 groups; every token of the one and every token of the other in a group are linked.
@@ -45,7 +45,7 @@ from seatlens.session import BROADCAST_ROWS, stage
 #: Documents of a segment at most, bytes of text after which it is closed.
 SEGMENT, SEGMENT_BYTES = 1 << 16, 12 << 20
 #: Bytes of units that a task remembers; beyond that they are forgotten and worked out again.
-REMEMBERED = 32 << 20
+REMEMBERED = 48 << 20
 #: Pairs in more segments than this have their counts broadcast, the most frequent ones first.
 HOT_SEGMENTS = 1000
 #: A bitmap of this many bytes is bits; a shorter one is a sorted array of 16-bit numbers.
@@ -53,6 +53,10 @@ _BITS = SEGMENT // 8
 
 _PRINTABLE = np.zeros(256, dtype=bool)
 _PRINTABLE[0x21:0x7F] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: Told apart from units that begin with a space.
+_MARK_KEY = np.uint64(0x5851F42D4C957F2D)
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -73,25 +77,39 @@ class Tokenizers:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         letters = _byte_of_letter()
-        self.a_bytes = {i: bytes(map(letters.__getitem__, t)) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        own = {i: bytes(map(letters.__getitem__, t)) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.a_bytes = [own.get(i, b"") for i in range(max(own) + 1)]
         self.b = b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [b.id_to_piece(i) for i in range(b.vocab_size())]
         self.b_bytes = [
             bytes([int(p[3:-1], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.blank = [b.piece_to_id("▁")]
-        self.a_size = np.zeros(max(self.a_bytes) + 1, dtype=np.int64)
-        self.a_size[list(self.a_bytes)] = list(map(len, self.a_bytes.values()))
+        # Marks that begin a token of either after a letter; the apostrophe may go on with the word's.
+        joined = {y for p in pieces for x, y in itertools.pairwise(p) if x.isascii() and x.isalpha()}
+        self.marks = np.zeros(256, dtype=bool)
+        self.marks[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'" and chr(c) not in joined]] = True
+        self.a_size = np.array(list(map(len, self.a_bytes)), dtype=np.int64)
         self.b_size = np.array(list(map(len, self.b_bytes)), dtype=np.int64)
 
-    def encode(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        """Both tokenizers' ids of a space and each unit; none where their bytes aren't just that."""
+    def encode(self, units: list[bytes], marks: list[bool]) -> tuple[list[list[int]], list[list[int]]]:
+        """Both tokenizers' ids of units; none where their bytes aren't just the unit's.
+
+        A unit that doesn't begin with a mark begins with a space, which it lacks here.
+        The piece model gets a letter before a mark, for else it adds a space.
+        """
         texts = [u.decode(errors="replace") for u in units]
-        a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-        b = [ids if t else self.blank for ids, t in zip(self.b.encode(texts, num_threads=1), texts, strict=True)]
-        for i, unit in enumerate(units):
-            whole = b" " + unit
-            if b"".join(map(self.a_bytes.get, a[i])) != whole or b"".join(map(self.b_bytes.__getitem__, b[i])) != whole:
+        a_texts = [t if m else f" {t}" for t, m in zip(texts, marks, strict=True)]
+        a = [e.ids for e in self.a.encode_batch_fast(a_texts, add_special_tokens=False)]
+        b = self.b.encode([f"a{t}" if m else t for t, m in zip(texts, marks, strict=True)], num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        for i, (unit, mark) in enumerate(zip(units, marks, strict=True)):
+            if mark:
+                b[i] = b[i][1:]
+            else:
+                unit = b" " + unit
+                b[i] = b[i] or self.blank
+            if b"".join(map(a_bytes, a[i])) != unit or b"".join(map(b_bytes, b[i])) != unit:
                 a[i], b[i] = [], []
         return a, b
 
@@ -148,21 +166,21 @@ class Units:
     def held(self) -> int:
         return 120 * self.known.size + 16 * self.pair.size + self.text_bytes
 
-    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
         """The numbers of spans; new ones are worked out."""
-        hashes = W.hashes(data, start, end)
+        hashes = W.hashes(data, start, end) ^ np.where(mark, _MARK_KEY, np.uint64(0))
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         number = self.known.find(unique)
         new = np.flatnonzero(number < 0)
         if len(new):
             spans = zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)
-            self._learn([data[i:j].tobytes() for i, j in spans])
+            self._learn([data[i:j].tobytes() for i, j in spans], mark[first[new]].tolist())
             number[new] = self.known.add(unique[new])
         return number[inverse]
 
-    def _learn(self, units: list[bytes]) -> None:
+    def _learn(self, units: list[bytes], marks: list[bool]) -> None:
         many, known = len(units), self.tokenizers
-        ids_a, ids_b = known.encode(units)
+        ids_a, ids_b = known.encode(units, marks)
         (a, n_a), (b, n_b) = _flat(ids_a), _flat(ids_b)
         unit_a, unit_b = np.repeat(np.arange(many), n_a), np.repeat(np.arange(many), n_b)
         # Units one after another: their byte offsets don't meet, nor do their groups.
@@ -198,24 +216,28 @@ class Units:
     @staticmethod
     def _texts(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, many: int) -> list[str]:
         def sides(ids: np.ndarray, group: np.ndarray) -> list[str]:
-            cuts, written = np.searchsorted(group, np.arange(many + 1)).tolist(), list(map(str, ids.tolist()))
-            return [",".join(written[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            size, written = np.bincount(group, minlength=many), list(map(str, ids.tolist()))
+            if len(written) == many:  # one token a group
+                return written
+            cuts = np.concatenate([[0], np.cumsum(size)]).tolist()
+            return [written[i] if j - i == 1 else ",".join(written[i:j]) for i, j in itertools.pairwise(cuts)]
 
         return [f"{x}|{y}" for x, y in zip(sides(a, in_a), sides(b, in_b), strict=True)]
 
 
-def _units(texts: W.Texts) -> W.Words:
-    """The units of texts, without the space that each begins with."""
+def _units(texts: W.Texts, marks: np.ndarray) -> tuple[W.Words, np.ndarray]:
+    """The units of texts, without the space that one may begin with, and whether it begins with a mark instead."""
     data, at = texts.data, texts.offsets
     n = len(data)
-    cut = np.zeros(n + 1, dtype=bool)
+    blank, mark = np.zeros(n + 1, dtype=bool), np.zeros(n + 1, dtype=bool)
     if n:
-        cut[1:n] = (data[1:] == 0x20) & _PRINTABLE[data[:-1]]
-        cut[at] = False
-    begin = cut.copy()
+        blank[1:n] = (data[1:] == 0x20) & _PRINTABLE[data[:-1]]
+        mark[1:n] = marks[data[1:]] & _LETTER[data[:-1]]
+        blank[at] = mark[at] = False
+    begin = blank | mark
     begin[at[:-1][np.diff(at) > 0]] = True
     start = np.flatnonzero(begin[:n])
-    return W.Words(start + cut[start], np.append(start[1:], n)[: len(start)], np.searchsorted(start, at))
+    return W.Words(start + blank[start], np.append(start[1:], n)[: len(start)], np.searchsorted(start, at)), mark[start]
 
 
 class _Aligned(NamedTuple):
@@ -231,8 +253,8 @@ class _Aligned(NamedTuple):
 def _aligned(texts: W.Texts, units: Units) -> _Aligned:
     if units.held() > REMEMBERED:
         units.forget()
-    found = _units(texts)
-    number = units.numbers(texts.data, found.start, found.end)
+    found, mark = _units(texts, units.tokenizers.marks)
+    number = units.numbers(texts.data, found.start, found.end, mark)
     sums = [np.concatenate([[0], np.cumsum(f.values[number])]) for f in (*units.facts,)]
     strange = np.concatenate([[0], np.cumsum(units.facts[0].values[number] == 0)])
     good = np.diff(strange[found.first]) == 0
