@@ -7,6 +7,7 @@ the number of visits.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -176,8 +177,9 @@ def office_days(
     window: Window,
     order: Sequence[str],
     lobs: DataFrame | None = None,
+    weeks_of: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """Every office day with attendance, capacity and hybrid flag.
+    """Every office day with attendance, capacity and hybrid flag; of the weeks with these Mondays, or of all.
 
     The unit of work is one office's ISO week: capacity spans are cut at
     Mondays and joined to weekly counts before they are unfolded into days, so
@@ -186,9 +188,11 @@ def office_days(
     """
     spans = capacity_spans(locations, snapshots, window, order)
     mondays = F.sequence(days.week_start(F.col("from_day")), F.col("to_day"), F.expr("interval 7 days"))
-    weeks = spans.withColumn("week_start", F.explode(mondays)).repartition(
-        window.tasks(daily.sparkSession), "office_location", "week_start"
-    )
+    weeks = spans.withColumn("week_start", F.explode(mondays))
+    if weeks_of is not None:
+        weeks = weeks.where(F.col("week_start").isin(list(weeks_of)))
+        daily = daily.where(days.week_start(F.col("date")).isin(list(weeks_of)))
+    weeks = weeks.repartition(window.tasks(daily.sparkSession), "office_location", "week_start")
     counted = weeks.join(_weekly_counts(daily, window, lobs), ["office_location", "week_start"], "left")
     # At most one row per calendar day is broadcast.
     eligible = F.broadcast(eligible_dates(calendar_days(daily.sparkSession, window)).select("date", "eligible"))

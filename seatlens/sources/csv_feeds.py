@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -59,6 +59,20 @@ def preferred_names(files: DataFrame, feed: Feed) -> str:
     return f"{digit * 4}-{digit * 2}_{feed.name}.csv" if any_by_month else "*.csv"
 
 
+def fingerprints(spark: SparkSession, folder: str, feed: Feed) -> DataFrame:
+    """(feed, path, month, size, modified) of a feed's files; no content is read. The month is the one that a name gives."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    path = _plain(F.col("_metadata.file_path"))
+    month = F.nullif(F.regexp_extract(path, rf"/(\d{{4}}-\d{{2}})_{re.escape(feed.name)}\.csv$", 1), F.lit(""))
+    return listing.select(
+        F.lit(feed.name).alias("feed"),
+        path.alias("path"),
+        month.alias("month"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
 def _header(uri: str) -> tuple[str, list[str] | None, str | None]:
     """The first record of a file, reading no more than its first block."""
     try:
@@ -135,6 +149,7 @@ def combine_feed(
     feed: Feed,
     columns: list[str] | None = None,
     multiline: bool | None = None,
+    months: Sequence[str] | None = None,
 ) -> Combined:
     """Union the feed's files by column name; what a file lacks is null.
 
@@ -147,14 +162,15 @@ def combine_feed(
     Files are read in blocks by several tasks, those with line breaks inside
     quotes by the states of their lines (``quoted_csv``). ``multiline`` says
     whether all or none have such; without it one pass over the lines finds out.
-    A file in which a quoted text does not end is left out.
+    A file in which a quoted text does not end is left out. With ``months`` only
+    the files that are named by these months are read.
 
     The union is staged as Parquet: the text is parsed once, and leaving out
     files with malformed lines costs a read of two columns. ``rejected`` names
     every file left out, also those whose names Spark's listing skips.
     """
     files = list_csv(spark, folder)
-    names = preferred_names(files, feed)
+    names = preferred_names(files, feed) if months is None else f"{{{','.join(months)}}}_{feed.name}.csv"
     chosen = list_csv(spark, folder, names).select("uri").repartition(task_slots(spark), "uri")
     headers = stage(chosen.mapInArrow(_read_headers, _HEADERS), f"{feed.name}-headers")
     wanted = feed.columns if columns is None else columns
