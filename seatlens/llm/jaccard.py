@@ -25,8 +25,9 @@ and a 256-bit parity sketch (whose Hamming distance bounds the symmetric
 difference from below as well) leave few pairs, and these are compared shingle by
 shingle. Equal sets are one node from the start. Links are looked for in two
 rounds: the first tries, per segment, each set's closest earlier set; the second
-tries every remaining pair of sets that still lie in different components. So no
-link between components is lost, and pairs inside a group of near copies are not
+tries every remaining pair of sets that still lie in different components, by a
+sketch of 1,024 bits that tells hardly any other pair from a link. So no link
+between components is lost, and pairs inside a group of near copies are not
 written out.
 """
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from seatlens.llm import words as W
 from seatlens.llm.graph import components
-from seatlens.session import broadcast_if_small, stage
+from seatlens.session import BROADCAST_ROWS, broadcast_if_small, stage
 
 #: Segments per band, as a multiple of the d + 1 that have to be joined on.
 SLACK = 1.3
@@ -51,7 +52,10 @@ BLOCK = 2048
 #: Compared pairs per step within a task.
 TILE = 256
 
-_SKETCH_BITS = 256
+#: Bits of the sketches that the first and the second round compare.
+_SKETCH_BITS, _WIDE_BITS = 256, 1024
+#: Rows of one text, or of one component, beyond which its label is broadcast to them.
+HOT_ROWS = 1000
 _U = np.uint64
 
 
@@ -83,8 +87,8 @@ def segment_keys(members: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def parity_sketch(members: np.ndarray) -> bytes:
-    parity = np.bincount((members & _U(_SKETCH_BITS - 1)).astype(np.int64), minlength=_SKETCH_BITS) & 1
+def parity_sketch(members: np.ndarray, bits: int = _SKETCH_BITS) -> bytes:
+    parity = np.bincount((members & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
@@ -140,6 +144,20 @@ def _members(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Rec
             at += len(texts)
 
 
+def _wide_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = batch.column(batch.schema.get_field_index("members"))
+        sets = [np.frombuffer(m.as_buffer(), _U) for m in packed]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(batch.schema.get_field_index("node")),
+                pa.array([len(m) for m in sets], pa.int64()),
+                pa.array([parity_sketch(m, _WIDE_BITS) for m in sets], pa.binary()),
+            ],
+            names=["node", "size", "sketch"],
+        )
+
+
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose sets link."""
     for batch in batches:
@@ -187,7 +205,8 @@ def _take(table: pa.Table, last: bool) -> Iterator[dict[str, np.ndarray]]:
     packed = pa.concat_arrays(packed.chunks) if isinstance(packed, pa.ChunkedArray) else packed
     sketch = np.frombuffer(packed.buffers()[2], np.uint8)
     at = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset]
-    sketch = sketch[at : at + len(packed) * _SKETCH_BITS // 8].view(_U).reshape(len(packed), -1)
+    width = len(packed[0].as_py())
+    sketch = sketch[at : at + len(packed) * width].view(_U).reshape(len(packed), -1)
     for lo, hi in zip(borders[whole], ends[whole], strict=True):
         if hi - lo > 1:
             yield {c: v[lo:hi] for c, v in columns.items()} | {"sketch": sketch[lo:hi]}
@@ -209,8 +228,9 @@ def _close(cell: dict[str, np.ndarray], rows: slice, percent: int) -> np.ndarray
 def _tiles(cell: dict[str, np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each tile's first row, and distances to the rows before each of its rows."""
     n = len(cell["node"])
-    for lo in range(0, n, TILE):
-        hi = min(n, lo + TILE)
+    tile = TILE * _SKETCH_BITS // (64 * cell["sketch"].shape[1])  # wider sketches, fewer rows
+    for lo in range(0, n, tile):
+        hi = min(n, lo + tile)
         apart = _close({c: v[:hi] if c not in "ij" else v for c, v in cell.items()}, slice(lo, hi), percent)
         apart[np.arange(hi)[None, :] >= np.arange(lo, hi)[:, None]] = 1 << 30
         yield lo, apart
@@ -292,7 +312,10 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
 
     nodes = shared.select("node").distinct()
     facts = filled.groupBy("node").agg(
-        F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")
+        F.any_value("size").alias("size"),
+        F.any_value("sketch").alias("sketch"),
+        F.min("text_hash").alias("text_hash"),
+        F.count("*").alias("rows"),
     )
     facts = stage(facts.join(nodes, "node"), "facts")
     wanted = broadcast_if_small(facts.select("node", "text_hash"))
@@ -309,12 +332,27 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
     label = F.coalesce("label", "node")
     placed = shared.join(groups, "node", "left").select("key", "node", label.alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-    rest = placed.join(mixed.select("key"), "key")
-    second = _bucketed(rest, sketches).mapInArrow(partial(_candidates, percent=percent, across=True), pair)
+    rest = stage(placed.join(mixed.select("key"), "key"), "mixed")
+    wide = sets.join(rest.select("node").distinct(), "node").mapInArrow(_wide_sketches, "node long, size long, sketch binary")
+    second = _bucketed(rest, stage(wide, "wide")).mapInArrow(partial(_candidates, percent=percent, across=True), pair)
     more = _verified(second, sets, percent)
     groups = components(stage(more.union(groups.select(F.col("node").alias("u"), F.col("label").alias("v"))), "links"))
 
-    return rows.select("id", "text_hash", "size", "node").join(groups, "node", "left").withColumn("label", label)
+    hot = facts.where(F.col("rows") > HOT_ROWS).join(groups, "node").select("node", "label", "rows")
+    nodes = rows.select("id", "text_hash", "size", "node")
+    found = _met(nodes.where("node IS NOT NULL"), groups, "node", hot).withColumn("label", label)
+    return found.unionByName(nodes.where("node IS NULL").withColumn("label", F.lit(None).cast("long")))
+
+
+def _met(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``rows`` left-joined to ``facts``, one per key. ``hot`` has those of keys with many rows, with their ``rows``.
+
+    As many of these as may be broadcast are, the most frequent first; no task gets all rows of one.
+    """
+    most = stage(hot.orderBy(F.desc("rows"), key).limit(BROADCAST_ROWS).drop("rows"), "hot")
+    near = rows.join(F.broadcast(most), key)
+    rest = rows.join(F.broadcast(most.select(key)), key, "left_anti").join(facts, key, "left")
+    return near.unionByName(rest)
 
 
 def jaccard_groups(
@@ -334,8 +372,10 @@ def jaccard_groups(
     columns are ignored, whatever their names. An empty table gives an empty one.
     """
     labelled = _labelled(docs, id_col, text_col, shingle, percent)
-    smallest = labelled.where("label is not null").groupBy("label").agg(F.min("id").alias("smallest"))
-    found = labelled.join(smallest, "label", "left")
+    alone, linked = labelled.where("label IS NULL"), labelled.where("label IS NOT NULL")
+    smallest = stage(linked.groupBy("label").agg(F.min("id").alias("smallest"), F.count("*").alias("rows")), "smallest")
+    found = _met(linked, smallest.drop("rows"), "label", smallest.where(F.col("rows") > HOT_ROWS))
+    found = found.unionByName(alone, allowMissingColumns=True)
     return found.select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),

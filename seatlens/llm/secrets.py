@@ -1,10 +1,10 @@
 """Secrets: pattern matches, judged by who owns them across the whole corpus.
 
 Every candidate's value is hashed and counted over the corpus by distinct
-repositories and distinct owners. A value that many owners carry is a copied
-example; one that a single owner has is likely to be live. Besides the base
-patterns, long mixed tokens are candidates too; they are added when their value
-belongs to one owner alone and looks random.
+repositories and distinct owners. A value that many owners carry, or many
+repositories even of one owner, is a copied example; one that a single owner has in
+a few repositories is likely to be live. Besides the base patterns, long mixed
+tokens are candidates too; they are added when their value looks random and live.
 
 Only DataFrame functions run. The texts are scanned once; the counts are
 aggregated before they are shuffled, whatever share of rows one value has.
@@ -34,8 +34,8 @@ PATTERNS = [
     S.Pattern("token", TOKEN, "[A-Za-z0-9+/_-]{20}"),
 ]
 
-#: A value of this many distinct owners or more is a copied example.
-EXAMPLE_OWNERS = 3
+#: A value of this many distinct owners, or of this many distinct repositories, or more is a copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 20
 
 
 def _value(kind: Column, hit: Column) -> Column:
@@ -60,7 +60,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
     counts = candidates.groupBy("value_hash").agg(
         F.count_distinct("repository").alias("repositories"), F.count_distinct("owner").alias("owners")
     )
-    verdict = F.when(F.col("owners") >= EXAMPLE_OWNERS, "example").when(F.col("owners") <= 1, "live").otherwise("shared")
+    widely = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    verdict = F.when(widely, "example").when(F.col("owners") <= 1, "live").otherwise("shared")
     return counts.withColumn("verdict", verdict)
 
 

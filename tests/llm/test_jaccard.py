@@ -30,6 +30,8 @@ def families(seed: int, many: int = 60) -> list[tuple[int, str]]:
 @pytest.mark.parametrize(("shingle", "percent", "block"), [(3, 90, 2048), (5, 80, 2048), (2, 60, 4)])
 def test_components_equal_brute_force(spark, monkeypatch, shingle, percent, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)  # a small block cuts large buckets into cells
+    monkeypatch.setattr(jaccard, "HOT_ROWS", 2 if block == 4 else 1000)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 3)
     rows = sorted(families(shingle))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(docs, shingle=shingle, percent=percent).collect()}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -178,6 +179,26 @@ def test_redact(spark):
     assert pii.redact(H.no_docs(spark)).collect() == []
 
 
+def test_ownership_counts_repositories_and_owners(spark):
+    """Against sets in Python; one owner's many repositories make an example too."""
+    rng = random.Random(8)
+    rows = [(f"v{v}", rng.choice([None, *range(rng.choice([2, 30, 90]))]), rng.choice([None, "a", *"bcd"[: v % 4]])) for v in range(40) for _ in range(60)]
+    rows += [("one owner", i, "a") for i in range(25)] + [("few", i, "a") for i in range(19)] + [("nobody", None, None)]
+    held: dict[str, tuple[set, set]] = {}
+    for value, repository, owner in rows:
+        own = held.setdefault(value, (set(), set()))
+        own[0].update({repository} - {None})
+        own[1].update({owner} - {None})
+    verdict = lambda r, o: "example" if o >= 3 or r >= 20 else "live" if o <= 1 else "shared"
+    want = {v: (len(r), len(o), verdict(len(r), len(o))) for v, (r, o) in held.items()}
+    found = secrets.ownership(spark.createDataFrame(rows, "value_hash string, repository long, owner string").distinct())
+    assert {r.value_hash: (r.repositories, r.owners, r.verdict) for r in found.collect()} == want
+    assert want["one owner"][2] == "example" and want["few"][2] == "live"
+    copied = [(i, "key Zx9kQw3eRt7yUi1oPa5sDf8g end", "owner") for i in range(20)]
+    docs = spark.createDataFrame(copied, "doc_id long, text string, source string")
+    assert {r.spans for r in secrets.secret_digests(docs).collect()} == {""}
+
+
 def test_ownership_parts_examples_from_live_secrets(spark):
     example, live = "password=changeme123", "password=hx81Kq0zz7"
     token = "Zx9kQw3eRt7yUi1oPa5sDf8g"
