@@ -6,17 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Numeric date layouts understood besides ISO, month first.
+# Numeric date layouts understood besides ISO, month first. With each,
+# marks that its texts have and that they lack: a text is tried in the layouts of its shape only.
 _DATE_LAYOUTS = [
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy h:mm a",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yy",
-    "M-d-yyyy",
-    "yyyy/M/d",
-    "yyyyMMdd",
+    ("M/d/yyyy", "/", ":"),
+    ("M/d/yyyy H:mm", "/:", "M"),
+    ("M/d/yyyy H:mm:ss", "/:", "M"),
+    ("M/d/yyyy h:mm a", "/:M", ""),
+    ("M/d/yyyy h:mm:ss a", "/:M", ""),
+    ("M/d/yy", "/", ":"),
+    ("M-d-yyyy", "-", "/:"),
+    ("yyyy/M/d", "/", ":"),
+    ("yyyyMMdd", "", "/:"),
 ]
 # A day, a month's name or its first three letters, and a year, in
 # either order; a time may follow.
@@ -45,9 +46,21 @@ def _named_month(text: Column) -> Column:
 def date_or_null(c: Column) -> Column:
     """The day of a date or date-time text, month before day; anything else is null."""
     text = F.trim(c)
-    attempts = [text.try_cast("date")]
-    attempts += [F.try_to_timestamp(F.upper(text), F.lit(layout)).cast("date") for layout in _DATE_LAYOUTS]
-    return F.coalesce(*attempts, _named_month(text))
+    upper = F.upper(text)
+
+    def attempt(layout: str, has: str, lacks: str) -> Column:
+        shape = F.lit(True)
+        for mark in has:
+            shape = shape & F.contains(upper, F.lit(mark))
+        for mark in lacks:
+            shape = shape & ~F.contains(upper, F.lit(mark))
+        if layout == "yyyyMMdd":
+            shape = shape & text.rlike(r"^[+-]?\d{8,}$")
+        return F.when(shape, F.try_to_timestamp(upper, F.lit(layout)).cast("date"))
+
+    attempts = [attempt(*layout) for layout in _DATE_LAYOUTS]
+    named = F.when(text.rlike("[A-Za-z]{3}"), _named_month(text))
+    return F.coalesce(text.try_cast("date"), *attempts, named)
 
 
 def date_or_error(c: Column) -> Column:

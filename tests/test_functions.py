@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -169,3 +170,27 @@ def test_file_period(spark):
     df = spark.createDataFrame([(i, *k) for i, k in enumerate(cases)], "i int, p string, d string")
     got = df.select("i", periods.file_period(F.col("p"), F.col("d").cast("date")).alias("v")).orderBy("i")
     assert [r.v for r in got.collect()] == list(cases.values())
+
+
+def test_dates_by_shape_equal_all_attempts(spark):
+    """Trying only the layouts of a text's shape gives what trying every layout does."""
+    rng = random.Random(4)
+    day = lambda: dt.datetime(rng.choice([1999, 2024]), rng.randrange(1, 13), rng.randrange(1, 29), rng.randrange(24), rng.randrange(60))
+    layouts = ["%m/%d/%Y", "%m/%d/%Y %H:%M", "%m/%d/%Y %H:%M:%S", "%m/%d/%Y %I:%M %p", "%m/%d/%Y %I:%M:%S %p", "%m/%d/%y"]
+    layouts += ["%m-%d-%Y", "%Y/%m/%d", "%Y%m%d", "%d-%b-%Y", "%B %d, %Y", "%Y-%m-%d", "%Y-%m-%dT%H:%M"]
+    texts = [day().strftime(rng.choice(layouts)) for _ in range(400)]
+    texts += ["".join(rng.choice(t) if rng.random() < 0.2 else x for x in t) for t in texts]
+    texts += ["".join(rng.choice("0123456789/-: ,aApPmMJjnN+.") for _ in range(rng.randrange(12))) for _ in range(1500)]
+    texts += [re.sub(r"\b0", "", t) for t in texts] + [t.lower() for t in texts] + ["1/2/2024 3:04 a.m.", "+20240102", "0003/1/2024"]
+    text = F.trim("t")
+    every = [text.try_cast("date")]
+    every += [F.try_to_timestamp(F.upper(text), F.lit(layout)).cast("date") for layout, _, _ in parse._DATE_LAYOUTS]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = frame.select(
+        "t",
+        parse.date_or_null(F.col("t")).cast("string").alias("ours"),
+        F.coalesce(*every, parse._named_month(text)).cast("string").alias("all"),
+    )
+    found = both.collect()
+    assert [r for r in found if r.ours != r.all] == []
+    assert sum(r.ours is not None for r in found) > 600
