@@ -341,7 +341,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
     hot = facts.where(F.col("rows") > HOT_ROWS).join(groups, "node").select("node", "label", "rows")
     nodes = rows.select("id", "text_hash", "size", "node")
     found = _met(nodes.where("node IS NOT NULL"), groups, "node", hot).withColumn("label", label)
-    return found.unionByName(nodes.where("node IS NULL").withColumn("label", F.lit(None).cast("long")))
+    return stage(found.unionByName(nodes.where("node IS NULL").withColumn("label", F.lit(None).cast("long"))), "labelled")
 
 
 def _met(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:

@@ -118,8 +118,8 @@ def training_rows(labels: DataFrame, id_col: str, label_col: str, learn: Column)
     return halves[0].union(halves[1]), 0.5 if share is None else float(share)
 
 
-def _by_chunk(bags: DataFrame, work: Callable[[np.ndarray], np.ndarray]) -> list[np.ndarray]:
-    """What ``work`` makes of the counts of each chunk, in chunk order.
+def _by_chunk(bags: DataFrame, work: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(chunk, made): what ``work`` makes of the counts of each chunk.
 
     A chunk's rows are put in order first, so the results don't depend on how
     Spark has dealt them.
@@ -130,8 +130,26 @@ def _by_chunk(bags: DataFrame, work: Callable[[np.ndarray], np.ndarray]) -> list
         made = work(counts.reshape(-1, DIMENSIONS + TERMS))
         return pd.DataFrame({"chunk": chunk["chunk"].iloc[:1], "made": [made.astype(np.float32).tobytes()]})
 
-    made = bags.groupBy("chunk").applyInPandas(run, "chunk int, made binary").collect()
-    return [np.frombuffer(r.made, np.float32) for r in sorted(made, key=lambda r: r.chunk)]
+    return bags.groupBy("chunk").applyInPandas(run, "chunk int, made binary")
+
+
+def _placed(made: DataFrame) -> np.ndarray:
+    """The chunks' results, one after another."""
+    rows = sorted(made.collect(), key=lambda r: r.chunk)
+    return np.concatenate([np.frombuffer(r.made, np.float32) for r in rows])
+
+
+def _summed(made: DataFrame) -> np.ndarray:
+    """The sum of the chunks' results, in chunk order; it is all that reaches the driver."""
+
+    def add(chunks: pd.DataFrame) -> pd.DataFrame:
+        total = 0.0
+        for part in chunks.sort_values("chunk")["made"]:
+            total = total + np.frombuffer(part, np.float32).astype(np.float64)
+        return pd.DataFrame({"total": [total.tobytes()]})
+
+    total = made.groupBy(F.lit(0)).applyInPandas(add, "total binary").first().total  # CHUNKS rows of a fixed size
+    return np.frombuffer(total, np.float64)
 
 
 def fit(docs: DataFrame, sample: DataFrame, prior: float, id_col: str, text_col: str) -> Model:
@@ -154,7 +172,7 @@ def fit(docs: DataFrame, sample: DataFrame, prior: float, id_col: str, text_col:
         return Model(nothing, nothing, np.empty(0), np.empty(0), prior)
 
     width, rank = DIMENSIONS + TERMS, min(RANK, len(labels))
-    held = np.sum(_by_chunk(bags, lambda counts: (counts > 0).sum(axis=0)), axis=0, dtype=np.float64)
+    held = _summed(_by_chunk(bags, lambda counts: (counts > 0).sum(axis=0)))
     idf = (np.log((1 + len(labels)) / (1 + held)) + 1).astype(np.float32)
     basis = np.random.default_rng(5).standard_normal((width, rank + 16)).astype(np.float32)
     for _ in range(ROUNDS):  # subspace iteration towards the leading right singular vectors
@@ -163,9 +181,9 @@ def fit(docs: DataFrame, sample: DataFrame, prior: float, id_col: str, text_col:
             matrix = _weighted(counts) * idf
             return matrix.T @ (matrix @ basis)
 
-        total = np.sum(_by_chunk(bags, turned), axis=0, dtype=np.float64).reshape(width, -1)
+        total = _summed(_by_chunk(bags, turned)).reshape(width, -1)
         basis = np.linalg.qr(total)[0].astype(np.float32)
-    placed = np.concatenate(_by_chunk(bags, lambda counts: (_weighted(counts) * idf) @ basis)).reshape(len(labels), -1)
+    placed = _placed(_by_chunk(bags, lambda counts: (_weighted(counts) * idf) @ basis)).reshape(len(labels), -1)
     _, _, right = np.linalg.svd(placed.astype(np.float64), full_matrices=False)
     turn = right[:rank].T.astype(np.float32)
     marks = np.array(labels, dtype=np.float32)
