@@ -441,6 +441,7 @@ def oracle_sql() -> dict[str, str]:
     queries["workbook_header_drift"] = _sql(_DRIFTED, "orders")
     queries["workbook_relanded"] = _sql(_RELANDED, "orders")
     queries["publish_batches"] = _sql(_PUBLISHED, "orders")
+    queries["refresh_late"] = _sql(_AGG, "orders")
     queries["build_switch"] = _sql(_SWITCHED, "orders")
     queries["period_inference"] = _PERIODS.strip()
     queries["workbook_ingest"] = _sql(_DECODED, "orders")
