@@ -148,7 +148,7 @@ def _summed(made: DataFrame) -> np.ndarray:
             total = total + np.frombuffer(part, np.float32).astype(np.float64)
         return pd.DataFrame({"total": [total.tobytes()]})
 
-    total = made.groupBy(F.lit(0)).applyInPandas(add, "total binary").first().total  # CHUNKS rows of a fixed size
+    total = made.groupBy().applyInPandas(add, "total binary").first().total  # CHUNKS rows of a fixed size
     return np.frombuffer(total, np.float64)
 
 
