@@ -1,4 +1,4 @@
-"""Byte-level BPE by corpus-level merge replay, and its inverse.
+"""Byte-level BPE by merge replay, task by task, and its inverse.
 
 Every task gathers the distinct pieces of its texts that it has not met yet, lays
 their bytes out as one long row of symbols and replays the merges over all of
