@@ -24,7 +24,7 @@ from seatlens.operators.grid import calendar_days  # noqa: E402
 from seatlens.plans import clean, dims, facts, marts, profile, quality, refresh  # noqa: E402
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, conform  # noqa: E402
 from seatlens.session import new_folder, stage  # noqa: E402
-from seatlens.sources import csv_feeds, files, periods, tables, versions, workbooks  # noqa: E402
+from seatlens.sources import csv_feeds, files, periods, statistics, tables, versions, workbooks  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +163,23 @@ def publish_roundtrip(b: Build) -> DataFrame:
     return conform(tables.require_table(b.spark, table_name), tables.PUBLISHED_AGGREGATED)
 
 
+def null_profile_files(b: Build) -> DataFrame:
+    """Nulls per column of the written fact, from its files' footers."""
+    folder = new_folder(b.spark, "fact")
+    b.fact.write.partitionBy("year", "month").parquet(folder)
+    nulls = statistics.null_counts(b.spark, folder)
+    if not statistics.is_pushed(nulls):
+        raise AssertionError("the counts were not answered from file footers")
+    return nulls
+
+
+def range_profile_files(b: Build) -> DataFrame:
+    """Ranges of the written fact's whole numbers, dates and flags, from its files' footers."""
+    folder = new_folder(b.spark, "fact")
+    b.fact.write.partitionBy("year", "month").parquet(folder)
+    return statistics.ranges(b.spark, folder, ("year", "month"))
+
+
 def publish_batches(b: Build) -> DataFrame:
     """The fact published in parts: years appended, each delivered twice, and one replaced by itself."""
     name = "seatlens_check.fact_by_batches"
@@ -480,6 +497,8 @@ _EVENTS_ONLY: dict[str, Callable[[Build], DataFrame]] = {
     "csv_quoted": csv_quoted,
     "csv_monthly_names": csv_monthly_names,
     "run_all_csv": run_all_csv,
+    "null_profile_files": null_profile_files,
+    "range_profile_files": range_profile_files,
 }
 
 

@@ -359,6 +359,11 @@ _FACT = "SELECT * FROM lob_fact"
 _AGG = "SELECT * FROM agg_fact"
 _PUBLISHED = "SELECT * REPLACE (CAST(attendance_count AS INTEGER) AS attendance_count) FROM agg_fact"
 
+_RANGES = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS most FROM lob_fact"
+    for c in "date_key location_key lob_key date is_weekend attendance_count deskcount is_hybrid_day".split()
+)
+
 _WITH_SEVERAL_VARIANTS = {
     "clean_occupancy": _VISITS,
     "clean_deskcount": "SELECT office AS office_location, deskcount, date FROM snaps",
@@ -422,6 +427,8 @@ _EVENTS_ONLY = {
     "csv_quoted": _CSV_QUOTED,
     "csv_monthly_names": _CSV_NAMED,
     "run_all_csv": _PUBLISHED,
+    "null_profile_files": _NULLS,
+    "range_profile_files": _RANGES,
 }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seatlens.functions.text import NULL_TOKENS
 from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
-from seatlens.sources import csv_feeds, ledger, tables, versions, workbooks
+from seatlens.sources import csv_feeds, ledger, statistics, tables, versions, workbooks
 from seatlens.sources.xlsx import first_sheet
 from fixtures.files import workbook
 from tests.helpers import day, rows
@@ -450,3 +450,26 @@ def test_quoted_line_breaks_in_any_blocks(spark, tmp_path, block):
     assert left == {"c.csv": "a quoted text does not end"}
     if block < 1000:
         assert len({r.source_block for r in got if r.source_file.endswith("a.csv")}) > 5
+
+
+def test_statistics_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    n = F.col("id")
+    frame = spark.range(1000).select(
+        n, F.when(n % 3 != 0, n.cast("int")).alias("a b"), F.concat(F.lit("x"), n).alias("t"), F.lit(None).cast("date").alias("d"),
+        (n % 2 == 0).alias("f"), (n % 2).alias("part"), F.when(n != 7, n / 7).alias("r"),
+    )
+    frame.write.partitionBy("part").parquet(path)
+    nulls, ranges = statistics.null_counts(spark, path), statistics.ranges(spark, path, ["part"])
+    assert statistics.is_pushed(nulls)
+    assert statistics.is_pushed(statistics.extremes(statistics.footers(spark, path), ["id", "f"]))
+    assert {r.column: r.nulls for r in nulls.collect()} == {"id": 0, "a b": 334, "t": 0, "d": 1000, "f": 0, "part": 0, "r": 1}
+    assert {r.column: (r.least, r.most) for r in ranges.collect()} == {
+        "id": ("0", "999"), "a b": ("1", "998"), "d": (None, None), "f": ("false", "true")
+    }
+    assert not statistics.is_pushed(statistics.footers(spark, path).agg(F.sum("id")))
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is as it was
+    empty = str(tmp_path / "empty")
+    frame.limit(0).drop("part").write.parquet(empty)
+    assert {r.nulls for r in statistics.null_counts(spark, empty).collect()} == {0}
+    assert {(r.least, r.most) for r in statistics.ranges(spark, empty).collect()} == {(None, None)}
