@@ -354,13 +354,13 @@ def period_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DESK_COLUMNS = ["OfficeLocation", "Deskcount", "RSF", "Date", "Include in Occupancy Calculation"]
 
 
-def _desk_workbooks(spark: SparkSession, sf_dir: str) -> str:
+def _desk_workbooks(spark: SparkSession, sf_dir: str, typed: bool = False) -> str:
     """The capacity snapshots as workbooks: two or more per month, of bounded size."""
     folder = new_folder(spark, "Deskcount")
     seq = F.col("seq")
     chunk = F.concat(F.floor(seq / 100_000).cast("string"), F.lit("-"), (F.floor(seq / 60) % 2).cast("string"))
     name = F.concat(F.date_format("Date", "yyyy-MM"), F.lit("/desks "), chunk, F.lit(".xlsx"))
-    write_workbooks(orders_desks(spark, sf_dir).withColumn("file", name), folder, "file", _DESK_COLUMNS, "seq")
+    write_workbooks(orders_desks(spark, sf_dir).withColumn("file", name), folder, "file", _DESK_COLUMNS, "seq", typed)
     return folder
 
 
@@ -370,6 +370,12 @@ def workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.try_element_at("cells", F.lit(c)).alias(c) for c in _DESK_COLUMNS])
 
 
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode workbooks as an office suite writes them: shared texts, numbers and styled days."""
+    rows = workbooks.read_workbooks(spark, _desk_workbooks(spark, sf_dir, typed=True)).where(F.col("row_pos") > 0)
+    return rows.select(*[F.try_element_at("cells", F.lit(c)).alias(c) for c in _DESK_COLUMNS])
+
+
 def workbook_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the workbooks as a table by month; of several per month the last counts."""
     folder = _desk_workbooks(spark, sf_dir)
@@ -523,6 +529,7 @@ def queries() -> dict[str, Query]:
         "parse_numbers": parse_numbers,
         "period_inference": period_inference,
         "workbook_ingest": workbook_ingest,
+        "workbook_cells": workbook_cells,
         "workbook_landing": workbook_landing,
         "workbook_rejected": workbook_rejected,
         "workbook_header_drift": workbook_header_drift,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import zipfile
 from collections.abc import Iterable, Sequence
@@ -22,21 +23,13 @@ _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
 
 
-def workbook(rows: Iterable[Sequence[str | None]]) -> bytes:
-    """A workbook with one sheet of text cells."""
-
-    def cell(value: str | None) -> str:
-        if value is None:
-            return "<c/>"
-        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
-
-    lines = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in rows)
+def _package(parts: dict[str, str]) -> bytes:
     parts = {
         "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_REL}">'
         '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>',
         "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_PACKAGE}">'
         f'<Relationship Id="rId1" Type="{_REL}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_MAIN}"><sheetData>{lines}</sheetData></worksheet>',
+        **parts,
     }
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as book:
@@ -45,27 +38,67 @@ def workbook(rows: Iterable[Sequence[str | None]]) -> bytes:
     return buffer.getvalue()
 
 
+def workbook(rows: Iterable[Sequence[str | None]]) -> bytes:
+    """A workbook with one sheet of text cells."""
+
+    def cell(value: str | None) -> str:
+        if value is None:
+            return "<c/>"
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
+
+    lines = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in rows)
+    return _package({"xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_MAIN}"><sheetData>{lines}</sheetData></worksheet>'})
+
+
+def typed_workbook(rows: Iterable[Sequence[object]]) -> bytes:
+    """A workbook as an office suite writes it: texts shared by number, numbers, days as styled numbers."""
+    strings: dict[str, int] = {}
+
+    def cell(value: object) -> str:
+        if value is None:
+            return "<c/>"
+        if isinstance(value, dt.date):
+            return f'<c s="1"><v>{(value - dt.date(1899, 12, 30)).days}</v></c>'
+        if isinstance(value, (int, float)):
+            return f"<c><v>{value}</v></c>"
+        return f'<c t="s"><v>{strings.setdefault(str(value), len(strings))}</v></c>'
+
+    lines = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in rows)
+    shared = "".join(f'<si><t xml:space="preserve">{escape(s)}</t></si>' for s in strings)
+    return _package(
+        {
+            "xl/sharedStrings.xml": f'<sst xmlns="{_MAIN}">{shared}</sst>',
+            "xl/styles.xml": f'<styleSheet xmlns="{_MAIN}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>',
+            "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_MAIN}"><sheetData>{lines}</sheetData></worksheet>',
+        }
+    )
+
+
 def _path_in(folder: str, name: str) -> tuple[FileSystem, str]:
     uri = folder if ":" in folder else f"file://{folder}"
     system, path = FileSystem.from_uri(uri)
     return system, f"{path}/{name}"
 
 
-def write_workbooks(df: DataFrame, folder: str, name: str, columns: Sequence[str], order: str) -> int:
-    """Write one workbook per distinct value of column ``name``; return their number."""
+def write_workbooks(df: DataFrame, folder: str, name: str, columns: Sequence[str], order: str, typed: bool = False) -> int:
+    """Write one workbook per distinct value of column ``name``; return their number.
+
+    Cells are texts, or with ``typed`` numbers, days and shared texts.
+    """
 
     def write(group: pd.DataFrame) -> pd.DataFrame:
         rows = group.sort_values(order)[list(columns)].astype(object)
-        texts = rows.where(rows.notna(), None).map(lambda v: None if v is None else str(v))
+        own = rows.where(rows.notna(), None)
+        texts = own if typed else own.map(lambda v: None if v is None else str(v))
         file_name = group[name].iloc[0]
         system, path = _path_in(folder, file_name)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(path) as out:
-            out.write(workbook([list(columns), *texts.values.tolist()]))
+            out.write((typed_workbook if typed else workbook)([list(columns), *texts.values.tolist()]))
         return pd.DataFrame({"file": [file_name]})
 
-    typed = df.select(name, order, *[F.col(c).cast("string") for c in columns])
-    return typed.groupBy(name).applyInPandas(write, "file string").count()
+    cells = df.select(name, order, *[F.col(c) if typed else F.col(c).cast("string") for c in columns])
+    return cells.groupBy(name).applyInPandas(write, "file string").count()
 
 
 def write_csv_texts(df: DataFrame, folder: str) -> int:

@@ -452,6 +452,7 @@ def oracle_sql() -> dict[str, str]:
     queries["build_switch"] = _sql(_SWITCHED, "orders")
     queries["period_inference"] = _PERIODS.strip()
     queries["workbook_ingest"] = _sql(_DECODED, "orders")
+    queries["workbook_cells"] = _sql(_DECODED, "orders")
     queries["workbook_landing"] = _sql(_LANDED, "orders")
     queries["marts_build"] = _sql(_FACT, "orders")
     return queries
