@@ -206,3 +206,81 @@ def test_of_an_ids_texts_the_smallest_hash_is_learnt_from(spark):
     marks = H.labels(spark, [(1, 1, 0), (2, 0, 0)])
     score = lambda d: [round(r.score, 4) for r in neighbours.classify(d, marks).orderBy("doc_id", "score").collect()]
     assert score(docs) == score(docs.orderBy(F.desc("text")))
+
+
+def _plain_bag(text: str | None) -> np.ndarray:
+    """Hashed trigrams of the bytes, words that repeat the one before, symbols."""
+    data, own = (text or "").encode(), re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    bag = np.zeros(neighbours.DIMENSIONS + 2, dtype=np.float64)
+    for a, b, c in zip(data, data[1:], data[2:], strict=False):
+        bag[((((a << 16 | b << 8 | c) * 2654435761) & 0xFFFFFFFF) >> 20) % neighbours.DIMENSIONS] += 1
+    repeats = sum(x == y for x, y in zip(own, own[1:], strict=False))
+    bag[-2] = neighbours.TERM_WEIGHT * max(0, repeats - neighbours.CHANCE)
+    bag[-1] = neighbours.TERM_WEIGHT * sum(data.count(s) for s in b"#*$%&|<>{}=~^_")
+    return bag
+
+
+def test_votes_equal_plain_cosines(spark, sf_dir):
+    """Every document against every labelled vector, one by one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").union(H.odd_docs(spark).select("doc_id", "text"))
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = neighbours.train(docs, marks, "doc_id", "text", "quality", None)
+    got = Counter((r.doc_id, round(r.score, 3)) for r in neighbours.classify(docs, marks).collect())
+    close = 0
+    for doc_id, text in [tuple(r) for r in docs.collect()]:
+        bag = np.sqrt(_plain_bag(text))
+        vector = (bag / (np.linalg.norm(bag) or 1)) @ model.projection
+        vector = vector / np.linalg.norm(vector) if np.linalg.norm(vector) > 1e-9 else 0 * vector
+        similar = sorted(((float(v @ vector), i) for i, v in enumerate(model.vectors)), reverse=True)[: neighbours.NEIGHBOURS]
+        votes = [(max(s, 0) ** 4 * float(model.weights[i]), float(model.labels[i])) for s, i in similar]
+        score = (sum(w * y for w, y in votes) + neighbours.PRIOR_VOTE * model.prior) / (sum(w for w, _ in votes) + neighbours.PRIOR_VOTE)
+        near = [k for k in got if k[0] == doc_id and abs(k[1] - score) < 3e-3]
+        close += bool(near)
+    assert close == docs.count()
+
+
+def test_paths_and_threshold_equal_a_plain_walk(spark):
+    rng = np.random.default_rng(4)
+    import pandas as pd
+
+    rows = rng.random((300, 8))
+    forest, frames = [], []
+    for tree in range(3):
+        frame = rules._grow(pd.DataFrame({"row": range(300), "features": list(rows), "tree": tree}))
+        feature, cut, path = np.full(4 << rules.DEPTH, -1), np.zeros(4 << rules.DEPTH), np.zeros(4 << rules.DEPTH)
+        feature[frame["node"]], cut[frame["node"]], path[frame["node"]] = frame["feature"], frame["cut"], frame["path"]
+        forest.append((feature, cut, path))
+        frames.append(frame)
+    expected = lambda n: 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else float(n == 2)
+
+    def walk(row, tree) -> tuple[int, int]:
+        feature, cut, _ = tree
+        node, depth = 1, 0
+        while feature[node] >= 0:
+            node, depth = 2 * node + int(row[feature[node]] >= cut[node]), depth + 1
+        return node, depth
+
+    new = np.vstack([rows[:50], rng.random((50, 8)), np.zeros((1, 8)), np.ones((1, 8))])
+    sizes = [Counter(walk(r, t)[0] for r in rows) for t in forest]
+    longest = rules.DEPTH + expected(2 * rules.TREE_ROWS)
+    plain = []
+    for row in new:
+        paths = []
+        for tree, held in zip(forest, sizes, strict=True):
+            node, depth = walk(row, tree)
+            paths.append(depth + expected(held[node]))
+        plain.append(np.mean(paths) / longest)
+    assert np.allclose(rules.path_lengths(new, forest), plain)
+
+    scored = [(i, int(rng.integers(0, 40)), float(d)) for i, d in enumerate(rng.random(400))]
+    marks = [(i, int(d > 0.3 or rng.random() < 0.01)) for i, _, d in scored]
+    frame = spark.createDataFrame([(i, n + 20, 0, d) for i, n, d in scored], "id long, n_words long, n_repeat_words long, depth double")
+    found = rules.threshold(frame, spark.createDataFrame(marks, "id long, label int"))
+    good, bad = ([d for (_, _, d), (_, y) in zip(scored, marks, strict=True) if y == k] for k in (1, 0))
+    best = (0, 0.0)
+    for b in range(rules.BINS):
+        border = (b + 1) / rules.BINS
+        lost, caught = sum(int(d * rules.BINS) <= b for d in good), sum(int(d * rules.BINS) <= b for d in bad)
+        if lost <= rules.MOST_LOST * len(good) and caught > best[0]:
+            best = (caught, border)
+    assert found == best[1] > 0
