@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import itertools
 import zipfile
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from urllib.parse import unquote
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatlens.session import new_folder
+from seatlens.session import new_folder, task_slots
 from seatlens.sources import files
 
 _XML = '<?xml version="1.0" encoding="UTF-8"?>'
@@ -74,31 +75,41 @@ def typed_workbook(rows: Iterable[Sequence[object]]) -> bytes:
     )
 
 
-def _path_in(folder: str, name: str) -> tuple[FileSystem, str]:
+def _path_in(folder: str) -> tuple[FileSystem, str]:
     uri = folder if ":" in folder else f"file://{folder}"
-    system, path = FileSystem.from_uri(uri)
-    return system, f"{path}/{name}"
+    return FileSystem.from_uri(uri)
 
 
 def write_workbooks(df: DataFrame, folder: str, name: str, columns: Sequence[str], order: str, typed: bool = False) -> int:
     """Write one workbook per distinct value of column ``name``; return their number.
 
-    Cells are texts, or with ``typed`` numbers, days and shared texts.
+    Cells are texts, or with ``typed`` numbers, days and shared texts. The rows of many
+    files are few bytes, of which the optimizer would make one task: the tasks are as
+    many as the cluster keeps busy, and each writes its files one after the other.
     """
-
-    def write(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(order)[list(columns)].astype(object)
-        own = rows.where(rows.notna(), None)
-        texts = own if typed else own.map(lambda v: None if v is None else str(v))
-        file_name = group[name].iloc[0]
-        system, path = _path_in(folder, file_name)
-        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(path) as out:
-            out.write((typed_workbook if typed else workbook)([list(columns), *texts.values.tolist()]))
-        return pd.DataFrame({"file": [file_name]})
-
-    cells = df.select(name, order, *[F.col(c) if typed else F.col(c).cast("string") for c in columns])
-    return cells.groupBy(name).applyInPandas(write, "file string").count()
+    make = typed_workbook if typed else workbook
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = _path_in(folder)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        made = set()
+        for file_name, own in itertools.groupby(rows, lambda row: row[0]):
+            path = f"{root}/{file_name}"
+            parent = path.rsplit("/", 1)[0]
+            if parent not in made:
+                system.create_dir(parent, recursive=True)
+                made.add(parent)
+            cells = ([None if v != v else v for v in row[1:]] for row in own)
+            with system.open_output_stream(path) as out:
+                out.write(make(itertools.chain([list(columns)], cells)))
+            yield pa.RecordBatch.from_pydict({"file": [file_name]})
+
+    spread = df.select(
+        F.col(name).alias("_file"),
+        F.col(order).alias("_order"),
+        *[F.col(c) if typed else F.col(c).cast("string") for c in columns],
+    ).repartition(4 * task_slots(df.sparkSession), "_file")
+    return spread.sortWithinPartitions("_file", F.col("_order").asc_nulls_last()).drop("_order").mapInArrow(write, "file string").count()
 
 
 def write_csv_texts(df: DataFrame, folder: str) -> int:

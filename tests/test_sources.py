@@ -13,7 +13,7 @@ from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
 from seatlens.sources import csv_feeds, ledger, statistics, tables, versions, workbooks
 from seatlens.sources.xlsx import first_sheet
-from fixtures.files import workbook
+from fixtures.files import workbook, write_workbooks
 from tests.helpers import day, rows
 
 HEADER = ["OfficeLocation", "Deskcount", "Date"]
@@ -108,6 +108,41 @@ def test_every_unusable_workbook_is_listed(spark, tmp_path):
     assert landed.rejected.count() == 25 and landed.rows.isEmpty()
 
 
+def _task_counts(spark, work):
+    """How many tasks each stage of ``work`` had."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        work()
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("counted") for s in tracker.getJobInfo(j).stageIds}
+        return [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_small_workbooks_are_spread_over_a_bounded_number_of_tasks(spark, tmp_path):
+    """One task wrote them all, and to read them took a task for each to be listed."""
+    many, most = 1200, 4 * spark.sparkContext.defaultParallelism
+    desks = spark.range(many).select(F.concat(F.lit("d"), "id", F.lit(".xlsx")).alias("file"), "id", (F.col("id") % 7).alias("n"))
+    written = _task_counts(spark, lambda: write_workbooks(desks, str(tmp_path / "in"), "file", ["n"], "id"))
+    assert max(written) == most
+    decoded = []
+    read = _task_counts(spark, lambda: decoded.extend(workbooks.read_workbooks(spark, str(tmp_path / "in")).collect()))
+    assert max(read) <= most
+    assert sorted((r.row_pos, r.cells["n"]) for r in decoded if r.row_pos) == sorted((1, str(i % 7)) for i in range(many))
+
+
+def test_workbooks_of_a_folder_and_one_level_below(spark, tmp_path):
+    """Also in folders with hidden names or those of partitions; deeper ones are left alone."""
+    folder = tmp_path / "in %41[x]"
+    near = ["a.xlsx", "m=1/b.xlsx", "_h/c.xlsx", ".h[1]/c {x}%20.xlsx"]
+    for name in [*near, "x/y/d.xlsx", "x/_y/d.xlsx", "_h/y/d.xlsx", "x/.d.xlsx", "e.txt"]:
+        put(folder / name, workbook([["A"], [name]]))
+    got = workbooks.read_workbooks(spark, str(folder)).where("row_pos > 0").collect()
+    assert sorted(r.cells["A"] for r in got) == sorted(near)
+    assert workbooks.read_workbooks(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_header_case_and_blanks_make_no_new_column(spark, tmp_path):
     put(tmp_path / "in" / "2024_01.xlsx", workbook([HEADER, ["A", "1", "2024-01-01"]]))
     put(tmp_path / "in" / "2024_02.xlsx", workbook([["officelocation ", "DeskCount", "DESKCOUNT", " date"], ["B", "NA", "2", "2/1/2024"]]))
