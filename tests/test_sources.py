@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seatlens.functions.text import NULL_TOKENS
 from seatlens.plans import clean, marts, quality
 from seatlens.schemas import DESKCOUNT, OCCUPANCY, PUBLISHED_AGGREGATED, TABLES
-from seatlens.sources import csv_feeds, ledger, statistics, tables, versions, workbooks
+from seatlens.sources import csv_feeds, ledger, quoted_csv, statistics, tables, versions, workbooks
 from seatlens.sources.xlsx import first_sheet
 from fixtures.files import workbook, write_workbooks
 from tests.helpers import day, rows
@@ -487,6 +487,35 @@ def test_quoted_line_breaks_in_any_blocks(spark, tmp_path, block):
         assert len({r.source_block for r in got if r.source_file.endswith("a.csv")}) > 5
 
 
+def test_lines_of_quoted_records_are_not_staged(spark, tmp_path, monkeypatch):
+    """Records are staged and a few lines at the blocks' ends; all lines were, twice."""
+    staged, stage = [], quoted_csv.stage
+
+    def counted(df, label):
+        done = stage(df, label)
+        staged.append(done.count())
+        return done
+
+    monkeypatch.setattr(quoted_csv, "stage", counted)
+    records = [f'{i},"o{i}\n' + "floor\n" * 40 + 'end"\n' for i in range(500)]
+    put(tmp_path / "a.csv", "n,OfficeLocation\n" + "".join(records))
+    got, _ = _read_quoted(spark, tmp_path, 20_000)
+    assert [(r.n, r.OfficeLocation) for r in got] == [(str(i), f"o{i}\n" + "floor\n" * 40 + "end") for i in range(500)]
+    assert sum(staged) < 500 * 42 / 4
+
+
+@pytest.mark.parametrize("by_name", [1000, -1])
+def test_files_with_and_without_broken_quotes(spark, tmp_path, monkeypatch, by_name):
+    """Each file is read one way, whether the broken ones are named or joined."""
+    monkeypatch.setattr(csv_feeds, "_NAMED_FILES", by_name)
+    put(tmp_path / "a %41.csv", "n,OfficeLocation\n" + "".join(f'{i},"o\n{i}"\n' for i in range(200)))
+    put(tmp_path / "b.csv", "OfficeLocation,n\n" + "".join(f'"p, {i}",{i}\n' for i in range(200)))
+    got, left = _read_quoted(spark, tmp_path, 500)
+    want = [(str(i), office.format(i)) for office in ("o\n{}", "p, {}") for i in range(200)]
+    assert [(r.n, r.OfficeLocation) for r in got] == want
+    assert left == {}
+
+
 def test_statistics_come_from_footers(spark, tmp_path):
     path = str(tmp_path / "t")
     n = F.col("id")
